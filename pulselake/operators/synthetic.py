@@ -1,0 +1,282 @@
+"""Synthetic bronze rows for load tests, drawn on the executors.
+
+Every draw is a hash of an id and a tag, so a row is the same on each retry
+and the amount of data follows the input table of ids.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from pulselake.functions.scalars import stable_uuid
+
+# Weighted sample types: (type, unit, weight, draw, minutes range or None).
+# A draw is ("gauss", mean, deviation, low, high, digits) or
+# ("triangle", low, high, mode, digits) or ("whole", low, count); "pulse" is a
+# normal draw with a fifth of elevated values, "hourly" a rate times 0.5 to 2 hours.
+SAMPLE_TYPES = [
+    ("HKQuantityTypeIdentifierHeartRate", "count/min", 3, ("pulse", 72, 12, 90, 50), None),
+    ("HKQuantityTypeIdentifierStepCount", "count", 2, ("hourly", 5500, 1500, 100), (15, 120)),
+    ("HKQuantityTypeIdentifierActiveEnergyBurned", "kcal", 2, ("triangle", 50, 400, 180, 1), (15, 60)),
+    ("HKQuantityTypeIdentifierBasalEnergyBurned", "kcal", 1, ("triangle", 50, 90, 65, 1), (55, 65)),
+    ("HKQuantityTypeIdentifierRestingHeartRate", "count/min", 1, ("gauss", 62, 8, 1, 250, 1), None),
+    ("HKQuantityTypeIdentifierHeartRateVariabilitySDNN", "ms", 1, ("gauss", 45, 15, 5, 500, 1), None),
+    ("HKQuantityTypeIdentifierOxygenSaturation", "%", 1, ("gauss", 97.5, 1.2, 90, 100, 1), None),
+    ("HKQuantityTypeIdentifierRespiratoryRate", "count/min", 1, ("gauss", 15, 2, 8, 100, 1), None),
+    ("HKQuantityTypeIdentifierDistanceWalkingRunning", "m", 2, ("gauss", 800, 400, 10, 10000, 0), (5, 45)),
+    ("HKQuantityTypeIdentifierFlightsClimbed", "count", 1, ("whole", 1, 8), (2, 15)),
+]
+TOTAL_WEIGHT = sum(t[2] for t in SAMPLE_TYPES)
+
+# Samples per payload: cumulative share -> count; the rest has 10 to 12.
+SAMPLE_COUNTS = [(0.05, 3), (0.15, 4), (0.35, 5), (0.60, 6), (0.80, 7), (0.90, 8), (0.95, 9)]
+
+# Activity -> (code, metres per minute).
+ACTIVITIES = {"running": (37, 180), "walking": (52, 85), "cycling": (13, 350)}
+
+# Stage and its share of the night, in order.
+STAGE_SHARES = [("awake", 0.05), ("asleepCore", 0.5), ("asleepDeep", 0.2), ("asleepREM", 0.25)]
+
+ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+
+
+def draw(key: Column, tag: str | Column) -> Column:
+    """A number in [0, 1) that depends only on the key and the tag."""
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    digits = F.substring(F.md5(F.concat(key.cast("string"), F.lit(":"), tag)), 1, 8)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**32))
+
+
+def _gauss(key: Column, tag: str, mean: float, deviation: float, low: float, high: float, digits: int) -> Column:
+    u, v = draw(key, tag + "u"), draw(key, tag + "v")
+    normal = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - u)) * F.cos(F.lit(2 * math.pi) * v)
+    return F.round(F.least(F.lit(float(high)), F.greatest(F.lit(float(low)), mean + deviation * normal)), digits)
+
+
+def _triangle(key: Column, tag: str, low: float, high: float, mode: float, digits: int) -> Column:
+    u = draw(key, tag)
+    rising = low + F.sqrt(u * (high - low) * (mode - low))
+    falling = high - F.sqrt((F.lit(1.0) - u) * (high - low) * (high - mode))
+    return F.round(F.when(u < (mode - low) / (high - low), rising).otherwise(falling), digits)
+
+
+def _value(key: Column, tag: str, spec: tuple) -> Column:
+    kind, *args = spec
+    if kind == "gauss":
+        return _gauss(key, tag, *args)
+    if kind == "triangle":
+        return _triangle(key, tag, *args)
+    if kind == "pulse":
+        mean, deviation, raised, span = args
+        resting = _gauss(key, tag, mean, deviation, 1, 250, 1)
+        return F.when(draw(key, tag + "high") > 0.2, resting).otherwise(F.round(raised + draw(key, tag + "r") * span, 1))
+    if kind == "hourly":
+        mean, deviation, low = args
+        rate = _gauss(key, tag, mean, deviation, -1e6, 1e6, 6)
+        return F.round(F.greatest(F.lit(float(low)), rate * (0.5 + draw(key, tag + "h") * 1.5)), 0)
+    low, count = args
+    return F.floor(draw(key, tag) * count).cast("double") + low
+
+
+def _iso(ts: Column) -> Column:
+    return F.date_format(ts, ISO)
+
+
+def _minus(ts: Column, seconds: Column) -> Column:
+    return F.timestamp_seconds(ts.cast("long") - F.floor(seconds))
+
+
+def _pick(choice: Column, values: list[Column]) -> Column:
+    """Value number ``choice`` (from 0) of a list, as a CASE so only one is computed."""
+    out = values[-1]
+    for i in reversed(range(len(values) - 1)):
+        out = F.when(choice == i, values[i]).otherwise(out)
+    return out
+
+
+def sample_count(payload: Column) -> Column:
+    u = draw(payload, "count")
+    out = F.lit(10) + F.floor(draw(payload, "many") * 3).cast("int")
+    for limit, n in reversed(SAMPLE_COUNTS):
+        out = F.when(u < limit, n).otherwise(out)
+    return out
+
+
+def synthetic_samples(ids: DataFrame) -> DataFrame:
+    """Sample payloads: 3 to 12 weighted samples per payload id, one row per sample.
+
+    ``ids`` has ``payload_id``, ``now`` and ``user_id``.
+    """
+    rows = ids.select("*", F.explode(F.sequence(F.lit(1), sample_count(F.col("payload_id")))).alias("n"))
+    rows = rows.withColumn("key", F.concat_ws("-", F.col("payload_id").cast("string"), "n"))
+    key = F.col("key")
+    slot = F.floor(draw(key, "type") * TOTAL_WEIGHT).cast("int")
+    # Slot 0..14 -> position in SAMPLE_TYPES, one slot per unit of weight.
+    slots = [i for i, t in enumerate(SAMPLE_TYPES) for _ in range(t[2])]
+    rows = rows.withColumn("t", F.element_at(F.array(*[F.lit(i) for i in slots]), slot + 1))
+    t = F.col("t")
+    start = _minus(F.col("now"), draw(key, "start") * 6 * 3600)
+    minutes = [
+        F.lit(0.0) if span is None else span[0] + draw(key, "length") * (span[1] - span[0])
+        for *_, span in SAMPLE_TYPES
+    ]
+    rows = rows.withColumns({"start_ts": start, "length": F.floor(_pick(t, minutes) * 60)})
+    value = _pick(t, [_value(key, "value", spec) for *_, spec, _ in SAMPLE_TYPES])
+    return rows.select(
+        "payload_id",
+        "user_id",
+        F.col("now").alias("ingested_at"),
+        stable_uuid(F.lit("sample"), key).alias("uuid"),
+        _pick(t, [F.lit(x[0]) for x in SAMPLE_TYPES]).alias("sample_type"),
+        value.alias("value"),
+        _pick(t, [F.lit(x[1]) for x in SAMPLE_TYPES]).alias("unit"),
+        "start_ts",
+        F.timestamp_seconds(F.col("start_ts").cast("long") + F.col("length")).alias("end_ts"),
+    )
+
+
+def synthetic_bronze(ids: DataFrame, record_type: str) -> DataFrame:
+    """Bronze rows of one record type, from ``payload_id``, ``now`` and ``user_id``."""
+    build = {
+        "samples": _samples_bronze,
+        "workouts": _workouts_bronze,
+        "sleep": _sleep_bronze,
+        "activity_summaries": _summaries_bronze,
+        "deletes": _deletes_bronze,
+    }[record_type]
+    rows = build(ids)
+    return rows.select(
+        stable_uuid(F.lit(record_type), F.col("key")).alias("record_id"),
+        F.col("now").alias("ingested_at"),
+        F.parse_json(F.to_json("body", {"ignoreNullFields": "false"})).alias("body"),
+        F.parse_json(F.lit('{"x-platform":"synthetic"}')).alias("headers"),
+        F.lit(record_type).alias("record_type"),
+        F.lit("synthetic").alias("source_platform"),
+        "user_id",
+    )
+
+
+def _samples_bronze(ids: DataFrame) -> DataFrame:
+    s = synthetic_samples(ids)
+    return s.select(
+        F.col("uuid").alias("key"),
+        F.col("ingested_at").alias("now"),
+        "user_id",
+        F.struct(
+            "uuid",
+            F.col("sample_type").alias("type"),
+            "value",
+            "unit",
+            _iso(F.col("start_ts")).alias("start_date"),
+            _iso(F.col("end_ts")).alias("end_date"),
+            F.lit("Apple Watch").alias("source_name"),
+            F.concat(F.lit("com.apple.health."), "uuid").alias("source_bundle_id"),
+            F.lit(None).cast("string").alias("metadata"),
+        ).alias("body"),
+    )
+
+
+def _keyed(ids: DataFrame) -> DataFrame:
+    return ids.withColumn("key", F.col("payload_id").cast("string"))
+
+
+def _workouts_bronze(ids: DataFrame) -> DataFrame:
+    key = F.col("key")
+    names = list(ACTIVITIES)
+    rows = _keyed(ids).withColumns(
+        {
+            "a": F.floor(draw(key, "activity") * len(names)).cast("int"),
+            "minutes": _triangle(key, "minutes", 15, 90, 35, 0),
+            "start": _minus(F.col("now"), (4 + draw(key, "start") * 6) * 3600),
+        }
+    )
+    a, minutes = F.col("a"), F.col("minutes")
+    pace = _pick(a, [F.lit(float(ACTIVITIES[n][1])) for n in names])
+    return rows.select(
+        "key",
+        "now",
+        "user_id",
+        F.struct(
+            stable_uuid(F.lit("workout"), key).alias("uuid"),
+            _pick(a, [F.lit(n) for n in names]).alias("activity_type"),
+            _pick(a, [F.lit(ACTIVITIES[n][0]) for n in names]).alias("activity_type_raw"),
+            _iso(F.col("start")).alias("start_date"),
+            _iso(F.timestamp_seconds(F.col("start").cast("long") + minutes * 60)).alias("end_date"),
+            (minutes * 60).alias("duration_seconds"),
+            F.round(minutes * (8 + draw(key, "energy") * 4), 1).alias("total_energy_burned_kcal"),
+            F.round(minutes * pace * (0.8 + draw(key, "pace") * 0.4), 0).alias("total_distance_meters"),
+            F.lit("Apple Watch").alias("source_name"),
+            F.lit(None).cast("string").alias("metadata"),
+        ).alias("body"),
+    )
+
+
+def _sleep_bronze(ids: DataFrame) -> DataFrame:
+    key = F.col("key")
+    seconds = F.floor(_triangle(key, "hours", 5.5, 9.5, 7.5, 2) * 3600)
+    # Sleep ends between 5:00 and 8:59 on the day of the upload, or the day before if that lies ahead.
+    clock = F.floor(5 + draw(key, "hour") * 4) * 3600 + F.floor(draw(key, "minute") * 60) * 60
+    today = F.date_trunc("day", "now").cast("long") + clock
+    ended = F.when(today > F.col("now").cast("long"), today - 86400).otherwise(today)
+    rows = _keyed(ids).withColumns({"s": seconds, "e": ended})
+    start = F.col("e") - F.col("s")
+    stages, cursor = [], 0.0
+    for i, (stage, share) in enumerate(STAGE_SHARES, 1):
+        stages.append(
+            F.struct(
+                stable_uuid(F.lit(f"stage{i}"), key).alias("uuid"),
+                F.lit(stage).alias("stage"),
+                _iso(F.timestamp_seconds(start + F.floor(F.col("s") * round(cursor, 2)))).alias("start_date"),
+                _iso(F.timestamp_seconds(start + F.floor(F.col("s") * round(cursor + share, 2)))).alias("end_date"),
+            )
+        )
+        cursor += share
+    return rows.select(
+        "key",
+        "now",
+        "user_id",
+        F.struct(
+            _iso(F.timestamp_seconds(start)).alias("start_date"),
+            _iso(F.timestamp_seconds("e")).alias("end_date"),
+            F.array(*stages).alias("stages"),
+        ).alias("body"),
+    )
+
+
+def _summaries_bronze(ids: DataFrame) -> DataFrame:
+    key = F.col("key")
+    goal = _pick(F.floor(draw(key, "goal") * 3), [F.lit(400.0), F.lit(500.0), F.lit(600.0)])
+    return _keyed(ids).select(
+        "key",
+        "now",
+        "user_id",
+        F.struct(
+            F.date_sub(F.to_date("now"), 1).cast("string").alias("date"),
+            _triangle(key, "energy", 300, 700, 480, 1).alias("active_energy_burned_kcal"),
+            goal.alias("active_energy_burned_goal_kcal"),
+            _triangle(key, "exercise", 15, 60, 32, 0).alias("exercise_minutes"),
+            F.lit(30.0).alias("exercise_minutes_goal"),
+            (8 + F.floor(draw(key, "stand") * 7)).alias("stand_hours"),
+            F.lit(12).alias("stand_hours_goal"),
+        ).alias("body"),
+    )
+
+
+def _deletes_bronze(ids: DataFrame) -> DataFrame:
+    u, v = draw(F.col("payload_id"), "deletes"), draw(F.col("payload_id"), "more")
+    count = F.when(u < 0.7, 1).when(v < 0.6, 2).otherwise(3)
+    rows = ids.select("*", F.explode(F.sequence(F.lit(1), count)).alias("n"))
+    rows = rows.withColumn("key", F.concat_ws("-", F.col("payload_id").cast("string"), "n"))
+    pick = F.floor(draw(F.col("key"), "type") * len(SAMPLE_TYPES)).cast("int")
+    return rows.select(
+        "key",
+        "now",
+        "user_id",
+        F.struct(
+            stable_uuid(F.lit("deleted"), F.col("key")).alias("uuid"),
+            _pick(pick, [F.lit(t[0]) for t in SAMPLE_TYPES]).alias("sample_type"),
+        ).alias("body"),
+    )
