@@ -34,6 +34,7 @@ def local_session(app: str = "pulselake", cores: str | int = "*", memory: str =
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
