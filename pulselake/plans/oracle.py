@@ -980,3 +980,31 @@ SELECT {uuid("'deletes'", 'key')} AS record_id, {_now} AS ingested_at, user_id,
   {uuid("'deleted'", 'key')} AS deleted_uuid,
   'HKQuantityTypeIdentifier' || {str(_types)}[CAST(floor({draw(K, 'type')} * 10) AS INTEGER) + 1] AS sample_type FROM d"""
 )
+
+# ---- streams end in the same tables as the batch queries --------------------
+
+for _stream, _batch in {
+    "stream_typed_samples": "bronze_typed_health_samples",
+    "stream_typed_workouts": "bronze_typed_workouts",
+    "stream_typed_sleep_stages": "bronze_typed_sleep_stages",
+    "stream_typed_activity_summaries": "bronze_typed_activity_summaries",
+    "stream_typed_deletes": "bronze_typed_deletes",
+    "stream_cdc_sleep_stages": "cdc_sleep_stages",
+    "stream_cdc_health_samples": "cdc_health_samples",
+    "stream_passthrough": "silver_activity_summaries",
+    "stream_scd1": "silver_health_samples",
+    "stream_scd2": "silver_workouts_history",
+    "stream_expectations": "expectation_report_workouts",
+}.items():
+    ORACLE[_stream] = ORACLE[_batch]
+# Session windows look at the latest end so far, not at the previous row only.
+ORACLE["stream_sessions"] = (
+    BASE
+    + """SELECT user_id, min(start_ts) AS session_start_ts, max(end_ts) AS session_end_ts, count(*) AS stage_count FROM (
+  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY start_ts, end_ts, record_id) AS n FROM (
+    SELECT *, CASE WHEN seen IS NULL OR start_ts - seen > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS opens FROM (
+      SELECT user_id, record_id, ts AS start_ts, ts + to_minutes(k) AS end_ts,
+        max(ts + to_minutes(k)) OVER (PARTITION BY user_id ORDER BY ts, ts + to_minutes(k), record_id
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM base)))
+GROUP BY user_id, n"""
+)
