@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.functions import codes
-from pulselake.operators.skew import HOT_ROWS, hot_keys
+from pulselake.operators.skew import HOT_ROWS, has_hot_keys, hot_keys
 
 IS_DELETE = "operation = 'DELETE'"
 
@@ -117,9 +117,9 @@ def apply_scd2(
     :func:`apply_scd1`. A version ends where the next change starts; a delete
     closes the version before it and gives no row of its own.
 
-    Keys with more than ``hot_rows`` changes are worked on in time chunks, so
-    no task gets a whole hot key. ``hot_rows=None`` turns the search for such
-    keys off and saves its counting pass.
+    A counting job looks for keys with more than ``hot_rows`` changes first. Such
+    keys are worked on in time chunks, so no task gets a whole hot key.
+    ``hot_rows=None`` leaves the search out.
     """
     tracked = [c for c in feed.columns if c not in except_cols]
     tie = F.col(tie_break) if tie_break else F.lit(None).cast("string")
@@ -129,7 +129,7 @@ def apply_scd2(
         F.expr(delete_when).alias("_deleted"),
         tie.alias("_tie"),
     )
-    if hot_rows is None:
+    if hot_rows is None or not has_hot_keys(changes, keys, hot_rows):
         versions = _versions(changes, keys)
     else:
         hot = F.broadcast(hot_keys(changes, keys, hot_rows))

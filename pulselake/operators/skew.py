@@ -18,21 +18,22 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys). Rows with a NULL key are ordinary."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+def has_hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether any key is hot. Runs one counting job over the key columns."""
+    return not hot_keys(df, keys, hot_rows).isEmpty()
 
 
 def anti_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; NULL keys never match.
 
     ``right`` is reduced to distinct keys, combining before the shuffle, so a
-    key copied many times there costs one row. Rows of a hot left key are not
-    shuffled at all: whether the key itself is missing is decided once, and the
-    answer is broadcast.
+    key copied many times there costs one row. A counting job looks for hot left
+    keys first. Rows of such a key are not shuffled at all: whether the key
+    itself is missing is decided once, and the answer is broadcast.
     """
     known = right.select(F.col(right_on).alias(left_on)).where(F.col(left_on).isNotNull()).distinct()
+    if not has_hot_keys(left, [left_on], hot_rows):
+        return left.join(known, left_on, "left_anti").select(*left.columns)
     hot = hot_keys(left, [left_on], hot_rows)
     ordinary = left.join(F.broadcast(hot), left_on, "left_anti").join(known, left_on, "left_anti")
     missing_hot = hot.join(known, left_on, "left_anti")

@@ -36,6 +36,9 @@ def local_session(app: str = "pulselake", cores: str | int = "*", memory: str =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # Call sites are captured for every column expression otherwise, which
+        # costs more than the planning of these queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
