@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulselake.functions import codes
 from pulselake.functions.scalars import type_label
-from pulselake.sources.ndjson import split_lines
+from pulselake.sources.ndjson import parse_line, split_lines
 
 # Field of a payload line that names its kind, per record type and platform.
 BREAKDOWN_FIELDS = {
@@ -37,7 +37,7 @@ def sync_breakdown(events: DataFrame, platform: str = "ios") -> DataFrame:
         "record_type", path.alias("field"), F.explode(split_lines(F.col("ndjson_payload"))).alias("line")
     )
     per_type: Column = F.lit(None).cast("string")
-    parsed = lines.withColumn("v", F.try_parse_json("line"))
+    parsed = lines.withColumn("v", parse_line(F.col("line")))
     for record_type, name in fields.items():
         value = F.try_variant_get("v", f"$.{name}", "variant")
         text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get("v", f"$.{name}", "string"))

@@ -13,13 +13,28 @@ def split_lines(body) -> F.Column:
     return F.filter(F.split(body, "\r?\n"), lambda line: line.rlike(r"\S"))
 
 
+def parse_line(line) -> F.Column:
+    """The JSON value of a line, NULL unless the whole line is one value.
+
+    Spark's parser stops after the first value and ignores what follows. Inside
+    brackets whatever follows is an error, but for a second element or a stray
+    ``]``; the latter is told apart by a second parse of lines that have one.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    single = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    balanced = F.when(
+        F.instr(line, "]") > 0, F.try_parse_json(F.concat(F.lit('{"r":'), line, F.lit("}"))).isNotNull()
+    ).otherwise(True)
+    return F.when(single & balanced, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+
 def _numbered_lines(df: DataFrame, body_col: str, max_lines: int) -> DataFrame:
     lines = df.withColumn("_lines", split_lines(F.col(body_col)))
     fits = F.size("_lines") <= max_lines
     return (
         lines.where(fits)
         .select(*df.columns, F.posexplode("_lines").alias("_pos", "_line"))
-        .withColumn("_parsed", F.try_parse_json("_line"))
+        .withColumn("_parsed", parse_line(F.col("_line")))
     )
 
 
@@ -51,4 +66,4 @@ def parse_ndjson(df: DataFrame, body_col: str = "body", max_lines: int = MAX_LIN
 def read_ndjson_files(spark, path: str) -> DataFrame:
     """Lines of NDJSON files as VARIANT, blank lines left out; broken lines are NULL."""
     text = spark.read.text(path)
-    return text.where(F.col("value").rlike(r"\S")).select(F.try_parse_json("value").alias("record"), "value")
+    return text.where(F.col("value").rlike(r"\S")).select(parse_line(F.col("value")).alias("record"), "value")

@@ -129,6 +129,11 @@ def history_sink(
         stored = spark.read.option("basePath", f"{path}/feed").parquet(f"{path}/feed")
         wanted = stored.where(F.col("bucket").isin(touched) & (F.col("batch_id") <= batch_id)).drop("batch_id")
         history = apply_scd2(wanted, ["bucket", *keys], except_cols=except_cols, **scd2)
+        # A marker row per touched bucket: without it a bucket whose last version
+        # vanished would have no output and so would keep its old partition.
+        numbers = F.explode(F.array(*[F.lit(b) for b in touched]))
+        marker = spark.range(1).select(numbers.alias("bucket"), F.lit(True).alias("_marker"))
+        history = history.withColumn("_marker", F.lit(False)).unionByName(marker, allowMissingColumns=True)
         spread = history.withColumn("_writer", F.pmod(F.xxhash64(*keys, "__START_AT"), F.lit(writers)))
         (
             spread.repartition("bucket", "_writer")
@@ -143,4 +148,4 @@ def history_sink(
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/history").drop("bucket")
+    return spark.read.parquet(f"{path}/history").where(~F.col("_marker")).drop("bucket", "_marker")
