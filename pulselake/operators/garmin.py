@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,8 @@ def garmin_to_bronze(extractions: DataFrame, categories: Iterable[str] = tuple(c
         F.explode(F.filter(present, lambda c: c["data"].isNotNull())).alias("c"),
     )
     prefix = F.to_json(F.struct(F.lit(SOURCE).alias("source"), "device_id", "date"))
-    # The vendor JSON is put in as it came, then the whole text is parsed once.
+    # The vendor JSON is put in as it came, then the whole text is parsed. The
+    # explode keeps Spark from copying the parse into every path that reads it.
     body = F.concat(F.expr("substring(_p, 1, length(_p) - 1)"), F.lit(',"data":'), F.col("c.data"), F.lit("}"))
     headers = F.struct(
         F.lit("application/json").alias("Content-Type"),
@@ -46,15 +46,19 @@ def garmin_to_bronze(extractions: DataFrame, categories: Iterable[str] = tuple(c
         F.col("device_id").alias("X-Device-Id"),
         F.date_format("pulled_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("X-Upload-Timestamp"),
     )
-    return rows.withColumn("_p", prefix).select(
+    shaped = rows.withColumn("_p", prefix).select(
         stable_uuid(F.col("extraction_id"), F.col("c.record_type")).alias("record_id"),
         F.col("pulled_at").alias("ingested_at"),
-        F.parse_json(body).alias("body"),
+        body.alias("_text"),
         F.parse_json(F.to_json(headers)).alias("headers"),
         F.col("c.record_type").alias("record_type"),
         F.lit(None).cast("string").alias("source_platform"),
         F.lit(None).cast("string").alias("user_id"),
     )
+    parsed = F.explode(F.array(F.parse_json("_text"))).alias("body")
+    return shaped.select(
+        "record_id", "ingested_at", parsed, "headers", "record_type", "source_platform", "user_id"
+    )
 
 
 # ---- building blocks of the long form ---------------------------------------
@@ -69,11 +73,16 @@ def _no_meta() -> Column:
 
 
 def _metric(name: str, value: Column, unit: str, meta: Column | None = None) -> Column:
-    """One reading; NULL in ``value`` means there is none."""
+    """One reading at the start of its day; NULL in ``value`` means there is none."""
+    return _reading(name, value, unit, field("body", "date", "date").cast("timestamp"), meta)
+
+
+def _reading(name: str, value: Column, unit: str, at: Column, meta: Column | None = None) -> Column:
     return F.struct(
         F.lit(name).alias("metric_type"),
-        value.alias("value"),
+        value.cast("double").alias("value"),
         F.lit(unit).alias("unit"),
+        at.alias("recorded_at"),
         (meta if meta is not None else _no_meta()).alias("metadata"),
     )
 
@@ -83,65 +92,32 @@ def _present(raw: Column, value: Column | None = None) -> Column:
     return F.when(raw.isNotNull(), value if value is not None else number_or(raw))
 
 
-def _long(bronze: DataFrame, record_type: str, metrics: list[Column]) -> DataFrame:
-    """Readings of one record type, at the start of their day."""
-    readings = F.filter(F.array(*metrics), lambda m: m["value"].isNotNull())
-    return (
-        route(bronze, record_type)
-        .withColumn("_day", field("body", "date", "date").cast("timestamp"))
-        .select(
-            "ingested_at", field("body", "device_id", "string").alias("device_id"), "_day", F.explode(readings).alias("m")
-        )
-        .select(
-            F.lit(SOURCE).alias("source"),
-            "device_id",
-            "m.metric_type",
-            "m.value",
-            "m.unit",
-            F.col("_day").alias("recorded_at"),
-            "ingested_at",
-            "m.metadata",
-        )
-    )
+def _known(*metrics: Column) -> Column:
+    return F.filter(F.array(*metrics), lambda m: m["value"].isNotNull())
 
 
-def _series(bronze: DataFrame, record_type: str, path: str, metric: str, unit: str, lowest: Column) -> DataFrame:
-    """Intraday pairs ``[epoch millis, value]``; short pairs, nulls and low values are left out."""
-    pairs = F.explode(_data(path, "array<variant>"))
-    return (
-        route(bronze, record_type)
-        .select("ingested_at", field("body", "device_id", "string").alias("device_id"), pairs.alias("pair"))
-        .select(
-            "ingested_at",
-            "device_id",
-            F.try_variant_get("pair", "$[0]", "double").alias("millis"),
-            F.try_variant_get("pair", "$[1]", "double").alias("value"),
-        )
-        .where(F.col("millis").isNotNull() & lowest)
-        .select(
-            F.lit(SOURCE).alias("source"),
-            "device_id",
-            F.lit(metric).alias("metric_type"),
-            "value",
-            F.lit(unit).alias("unit"),
-            F.timestamp_millis(F.col("millis").cast("long")).alias("recorded_at"),
-            "ingested_at",
-            _no_meta().alias("metadata"),
-        )
-    )
+def _series(path: str, metric: str, unit: str, in_range: Callable[[Column], Column]) -> Column:
+    """Intraday pairs ``[epoch millis, value]``; short pairs, nulls and values out of range are left out."""
 
+    def reading(pair: Column) -> Column:
+        millis = F.try_variant_get(pair, "$[0]", "double").cast("long")
+        value = F.try_variant_get(pair, "$[1]", "double")
+        return _reading(metric, value, unit, F.timestamp_millis(millis))
 
-# ---- one function per record type -------------------------------------------
+    pairs = F.transform(_data(path, "array<variant>"), reading)
+    return F.filter(pairs, lambda m: m["recorded_at"].isNotNull() & in_range(m["value"]))
 
 
-def daily_stats(bronze: DataFrame) -> DataFrame:
-    direct = [
-        _metric(metric, _present(_data(key)), unit) for key, (metric, unit) in codes.GARMIN_DAILY_METRICS.items()
-    ]
-    return _long(bronze, "daily_stats", direct)
+# ---- readings of one bronze row, per record type ----------------------------
 
 
-def intensity_minutes(bronze: DataFrame) -> DataFrame:
+def _stats_readings() -> Column:
+    return _known(
+        *[_metric(metric, _present(_data(key)), unit) for key, (metric, unit) in codes.GARMIN_DAILY_METRICS.items()]
+    )
+
+
+def _intensity_readings() -> Column:
     """Moderate plus vigorous minutes, if either is above 0."""
     moderate = number_or(_data("moderateIntensityMinutes"))
     vigorous = number_or(_data("vigorousIntensityMinutes"))
@@ -149,39 +125,33 @@ def intensity_minutes(bronze: DataFrame) -> DataFrame:
         F.lit("moderate"), moderate.cast("long").cast("string"), F.lit("vigorous"), vigorous.cast("long").cast("string")
     )
     total = F.when((moderate > 0) | (vigorous > 0), moderate + vigorous)
-    return _long(bronze, "daily_stats", [_metric("intensity_minutes", total, "minutes", meta)])
+    return _known(_metric("intensity_minutes", total, "minutes", meta))
 
 
-def heart_rates(bronze: DataFrame) -> DataFrame:
-    return _series(bronze, "heart_rates", "heartRateValues", "heart_rate_intraday", "bpm", F.col("value") > 0)
+def _heart_readings() -> Column:
+    return _series("heartRateValues", "heart_rate_intraday", "bpm", lambda v: v > 0)
 
 
-def sleep(bronze: DataFrame) -> DataFrame:
-    metrics = [
-        _metric(metric, _present(raw, number_or(raw) / F.lit(divisor)), unit)
-        for key, (metric, divisor, unit) in codes.GARMIN_SLEEP_METRICS.items()
-        for raw in [_data(f"dailySleepDTO.{key}")]
-    ]
+def _sleep_readings() -> Column:
+    metrics = []
+    for key, (metric, divisor, unit) in codes.GARMIN_SLEEP_METRICS.items():
+        raw = _data(f"dailySleepDTO.{key}")
+        metrics.append(_metric(metric, _present(raw, number_or(raw) / F.lit(divisor)), unit))
     score = _present(_data("dailySleepDTO.sleepScores.overall.value"))
-    return _long(bronze, "sleep", [*metrics, _metric("sleep_score", score, "score")])
+    return _known(*metrics, _metric("sleep_score", score, "score"))
 
 
-def stress(bronze: DataFrame) -> DataFrame:
-    return _series(bronze, "stress", "stressValuesArray", "stress_level", "score", F.col("value") >= 0)
+def _stress_readings() -> Column:
+    return _series("stressValuesArray", "stress_level", "score", lambda v: v >= 0)
 
 
-def hrv(bronze: DataFrame) -> DataFrame:
+def _hrv_readings() -> Column:
     status = _data("hrvSummary.status")
-    label = F.create_map(F.lit("status_label"), status)
     score = lookup(F.upper(status), codes.GARMIN_HRV_SCORES, F.lit(-1.0))
-    return _long(
-        bronze,
-        "hrv",
-        [
-            _metric("hrv_weekly_avg", _present(_data("hrvSummary.weeklyAvg")), "ms"),
-            _metric("hrv_last_night", _present(_data("hrvSummary.lastNight5MinHigh")), "ms"),
-            _metric("hrv_status", F.when(status.isNotNull(), score), "score", label),
-        ],
+    return _known(
+        _metric("hrv_weekly_avg", _present(_data("hrvSummary.weeklyAvg")), "ms"),
+        _metric("hrv_last_night", _present(_data("hrvSummary.lastNight5MinHigh")), "ms"),
+        _metric("hrv_status", F.when(status.isNotNull(), score), "score", F.create_map(F.lit("status_label"), status)),
     )
 
 
@@ -192,86 +162,101 @@ def _first_nonzero(first: str, second: str) -> Column:
     return F.coalesce(F.when(~zero, a), _data(second))
 
 
-def spo2(bronze: DataFrame) -> DataFrame:
-    value = _first_nonzero("averageSpO2", "averageSpO2Value")
-    return _long(bronze, "spo2", [_metric("spo2", _present(value), "pct")])
+def _spo2_readings() -> Column:
+    return _known(_metric("spo2", _present(_first_nonzero("averageSpO2", "averageSpO2Value")), "pct"))
 
 
-def respiration(bronze: DataFrame) -> DataFrame:
+def _respiration_readings() -> Column:
     value = _first_nonzero("avgWakingRespirationValue", "avgSleepRespirationValue")
-    return _long(bronze, "respiration", [_metric("respiration_rate", _present(value), "brpm")])
+    return _known(_metric("respiration_rate", _present(value), "brpm"))
 
 
-def body_battery(bronze: DataFrame) -> DataFrame:
+def _battery_readings() -> Column:
     """Highest and lowest level, from a list of pairs or from two named values."""
-    levels = F.filter(
-        F.transform(
-            _data("", "array<variant>"),
-            lambda pair: F.try_variant_get(pair, "$[1]", "double"),
-        ),
-        lambda v: v > 0,
-    )
+    second = F.transform(_data("", "array<variant>"), lambda pair: F.try_variant_get(pair, "$[1]", "double"))
+    levels = F.filter(second, lambda v: v > 0)
     high = F.coalesce(F.array_max(levels), _present(_data("bodyBatteryHighestValue")))
     low = F.coalesce(F.array_min(levels), _present(_data("bodyBatteryLowestValue")))
-    return _long(
-        bronze,
-        "body_battery",
-        [_metric("body_battery_high", high, "score"), _metric("body_battery_low", low, "score")],
-    )
+    return _known(_metric("body_battery_high", high, "score"), _metric("body_battery_low", low, "score"))
 
 
-def activities(bronze: DataFrame) -> DataFrame:
+def _activity_readings() -> Column:
     """Five readings per activity. An unreadable time is NULL, not the time of the run."""
-    one = F.col("a")
-
-    def text(path: str) -> Column:
-        return F.try_variant_get(one, f"$.{path}", "string")
 
-    meta = F.create_map(
-        F.lit("activity_type"), F.coalesce(text("activityType.typeKey"), F.lit("unknown")),
-        F.lit("activity_name"), F.coalesce(text("activityName"), F.lit("")),
-        F.lit("activity_id"), F.coalesce(text("activityId"), F.lit("")),
-    )
-    local = F.nullif(text("startTimeLocal"), F.lit(""))
-    when = F.coalesce(local, text("startTimeGMT")).try_cast("timestamp")
-    metrics = F.array(
-        *[_metric(name, _present(text(key)), unit, meta) for key, (name, unit) in codes.GARMIN_ACTIVITY_METRICS.items()]
-    )
-    return (
-        route(bronze, "activities")
-        .select(
-            "ingested_at",
-            field("body", "device_id", "string").alias("device_id"),
-            F.explode(_data("", "array<variant>")).alias("a"),
-        )
-        .where(F.schema_of_variant("a").startswith("OBJECT"))
-        .select(
-            "ingested_at",
-            "device_id",
-            when.alias("recorded_at"),
-            F.explode(F.filter(metrics, lambda m: m["value"].isNotNull())).alias("m"),
-        )
-        .select(
-            F.lit(SOURCE).alias("source"),
-            "device_id",
-            "m.metric_type",
-            "m.value",
-            "m.unit",
-            "recorded_at",
-            "ingested_at",
-            "m.metadata",
+    def readings(one: Column) -> Column:
+        def text(path: str) -> Column:
+            return F.try_variant_get(one, f"$.{path}", "string")
+
+        meta = F.create_map(
+            F.lit("activity_type"), F.coalesce(text("activityType.typeKey"), F.lit("unknown")),
+            F.lit("activity_name"), F.coalesce(text("activityName"), F.lit("")),
+            F.lit("activity_id"), F.coalesce(text("activityId"), F.lit("")),
+        )
+        local = F.nullif(text("startTimeLocal"), F.lit(""))
+        at = F.coalesce(local, text("startTimeGMT")).try_cast("timestamp")
+        # Entries that are no objects have none of the keys and so no readings.
+        return F.array(
+            *[
+                _reading(name, _present(text(key)), unit, at, meta)
+                for key, (name, unit) in codes.GARMIN_ACTIVITY_METRICS.items()
+            ]
         )
+
+    flat = F.flatten(F.transform(_data("", "array<variant>"), readings))
+    return F.filter(flat, lambda m: m["value"].isNotNull())
+
+
+READINGS = {
+    "daily_stats": lambda: F.concat(_stats_readings(), _intensity_readings()),
+    "heart_rates": _heart_readings,
+    "sleep": _sleep_readings,
+    "stress": _stress_readings,
+    "hrv": _hrv_readings,
+    "spo2": _spo2_readings,
+    "body_battery": _battery_readings,
+    "respiration": _respiration_readings,
+    "activities": _activity_readings,
+}
+
+
+def _events(bronze: DataFrame, readings: Column) -> DataFrame:
+    """Metric events from an array of readings per bronze row."""
+    return bronze.select(
+        field("body", "device_id", "string").alias("device_id"), "ingested_at", F.explode(readings).alias("m")
+    ).select(
+        F.lit(SOURCE).alias("source"),
+        "device_id",
+        "m.metric_type",
+        "m.value",
+        "m.unit",
+        "m.recorded_at",
+        "ingested_at",
+        "m.metadata",
     )
 
 
-NORMALIZERS = [
-    daily_stats, intensity_minutes, heart_rates, sleep, stress, hrv, spo2, body_battery, respiration, activities,
-]
+def daily_stats(bronze: DataFrame) -> DataFrame:
+    return _events(route(bronze, "daily_stats"), _stats_readings())
+
+
+def intensity_minutes(bronze: DataFrame) -> DataFrame:
+    return _events(route(bronze, "daily_stats"), _intensity_readings())
+
+
+def events_of(bronze: DataFrame, record_type: str) -> DataFrame:
+    """Metric events of one record type."""
+    return _events(route(bronze, record_type), READINGS[record_type]())
 
 
 def normalize(bronze: DataFrame) -> DataFrame:
-    """All metric events. Day step counts have no long form and stay in bronze."""
-    return reduce(lambda a, b: a.unionByName(b), [f(bronze) for f in NORMALIZERS])
+    """All metric events, in one pass over the bronze rows.
+
+    Day step counts have no long form and stay in bronze.
+    """
+    readings = F.lit(None)
+    for record_type, build in READINGS.items():
+        readings = F.when(F.col("record_type") == record_type, build()).otherwise(readings)
+    return _events(bronze.where(F.col("record_type").isin(list(READINGS))), readings)
 
 
 def rejected_times(events: DataFrame) -> DataFrame:

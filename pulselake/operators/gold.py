@@ -127,27 +127,28 @@ def daily_summary(samples: DataFrame, tz: str, first_day: str, last_day: str) ->
     A sample belongs to the local day it starts on. Users are those with any
     sample in the input.
     """
+    first, last = F.lit(first_day).cast("date"), F.lit(last_day).cast("date")
     local_day = F.to_date(F.from_utc_timestamp("start_ts", tz))
     relevant = [t for types in DAILY_TOTALS.values() for t in types]
+    counts = F.col("sample_type").isin(relevant) & local_day.between(first, last)
     totals = [
         F.sum(F.when(F.col("sample_type").isin(types), F.col("value")).otherwise(0.0)).alias(name)
         for name, types in DAILY_TOTALS.items()
     ]
-    measured = (
-        samples.where(F.col("sample_type").isin(relevant))
-        .withColumn("date", local_day)
-        .where(F.col("date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
-        .groupBy("user_id", "date")
-        .agg(*totals)
+    # Samples that do not count share one group without a day, so users who have
+    # only such samples are kept and the input is read once.
+    measured = samples.groupBy("user_id", F.when(counts, local_day).alias("date")).agg(*totals)
+    entry = F.struct("date", F.struct(*DAILY_TOTALS).alias("totals"))
+    # At most one entry per day of the range.
+    per_user = measured.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("date").isNotNull(), entry))).alias("by_day")
     )
-    days = F.explode(F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
-    spine = samples.select("user_id").distinct().select("user_id", days.alias("date"))
-    joined = spine.join(measured, ["user_id", "date"], "left")
-    return joined.select(
+    spread = per_user.select("user_id", "by_day", F.explode(F.sequence(first, last)).alias("date"))
+    found = F.element_at("by_day", F.col("date"))
+    return spread.select(
         "user_id",
         "date",
         F.lit(tz).alias("timezone"),
-        F.coalesce("total_steps", F.lit(0.0)).cast("long").alias("total_steps"),
-        F.coalesce("active_calories_burned_kcal", F.lit(0.0)).alias("active_calories_burned_kcal"),
-        F.coalesce("total_distance_meters", F.lit(0.0)).alias("total_distance_meters"),
+        F.coalesce(found["total_steps"], F.lit(0.0)).cast("long").alias("total_steps"),
+        *[F.coalesce(found[c], F.lit(0.0)).alias(c) for c in list(DAILY_TOTALS)[1:]],
     )

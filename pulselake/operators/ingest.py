@@ -47,15 +47,25 @@ def build_bronze(requests: DataFrame, max_lines: int = MAX_LINES) -> tuple[DataF
     typed = normalize_record_type(
         requests.withColumn("record_type", F.element_at("headers", "x-record-type"))
     )
-    records, errors = parse_ndjson(typed, "body", max_lines)
+    # What belongs to the request is worked out once, before its lines are split.
+    shaped = typed.select(
+        "request_id",
+        "received_at",
+        "record_type",
+        "body",
+        F.parse_json(F.to_json(strip_headers(F.col("headers")))).alias("headers"),
+        source_platform(F.col("headers")).alias("source_platform"),
+        resolve_user(F.col("jwt_sub"), F.element_at("headers", "x-forwarded-email")).alias("user_id"),
+    )
+    records, errors = parse_ndjson(shaped, "body", max_lines)
     bronze = records.select(
         stable_uuid(F.col("request_id"), F.col("line_no")).alias("record_id"),
         F.col("received_at").alias("ingested_at"),
         F.col("record").alias("body"),
-        F.parse_json(F.to_json(strip_headers(F.col("headers")))).alias("headers"),
+        "headers",
         "record_type",
-        source_platform(F.col("headers")).alias("source_platform"),
-        resolve_user(F.col("jwt_sub"), F.element_at("headers", "x-forwarded-email")).alias("user_id"),
+        "source_platform",
+        "user_id",
     )
     return bronze, errors.select("request_id", "record_type", "error")
 

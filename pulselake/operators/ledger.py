@@ -32,18 +32,17 @@ def sync_breakdown(events: DataFrame, platform: str = "ios") -> DataFrame:
     summaries have no kinds; their record counts are summed instead.
     """
     fields = BREAKDOWN_FIELDS[platform]
-    path = F.element_at(F.create_map(*[F.lit(x) for kv in fields.items() for x in kv]), F.col("record_type"))
     lines = events.where(F.col("record_type").isin(list(fields))).select(
-        "record_type", path.alias("field"), F.explode(split_lines(F.col("ndjson_payload"))).alias("line")
+        "record_type",
+        F.explode(F.transform(split_lines(F.col("ndjson_payload")), parse_line)).alias("v"),
     )
     per_type: Column = F.lit(None).cast("string")
-    parsed = lines.withColumn("v", parse_line(F.col("line")))
     for record_type, name in fields.items():
         value = F.try_variant_get("v", f"$.{name}", "variant")
         text = F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get("v", f"$.{name}", "string"))
         per_type = F.when(F.col("record_type") == record_type, text).otherwise(per_type)
     kinds = (
-        parsed.select("record_type", per_type.alias("kind"))
+        lines.select("record_type", per_type.alias("kind"))
         .where(F.col("kind").isNotNull())
         .groupBy("record_type", "kind")
         .agg(F.count(F.lit(1)).alias("count"))

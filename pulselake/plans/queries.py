@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.functions import scalars
+from pulselake.functions import codes, scalars
 from pulselake.operators import (
     cdc,
     garmin,
@@ -295,7 +295,7 @@ def _(ev, spark, sf):
 @query("events_as_json")
 def _(ev, spark, sf):
     b = garmin.garmin_to_bronze(fixtures.extractions(ev), ["hrv"])
-    events = garmin.hrv(b).where(F.col("metric_type") == "hrv_status")
+    events = garmin.events_of(b, "hrv").where(F.col("metric_type") == "hrv_status")
     return tables.events_as_json(events)
 
 
@@ -551,24 +551,32 @@ def _flat(events):
     return events.withColumn("metadata", F.array_join(entries, ";"))
 
 
-for _name, _category, _build in [
-    ("garmin_daily_stats", "stats", garmin.daily_stats),
-    ("garmin_intensity_minutes", "stats", garmin.intensity_minutes),
-    ("garmin_heart_rates", "heart_rates", garmin.heart_rates),
-    ("garmin_sleep", "sleep", garmin.sleep),
-    ("garmin_stress", "stress", garmin.stress),
-    ("garmin_hrv", "hrv", garmin.hrv),
-    ("garmin_spo2", "spo2", garmin.spo2),
-    ("garmin_respiration", "respiration", garmin.respiration),
-    ("garmin_body_battery", "body_battery", garmin.body_battery),
-    ("garmin_activities", "activities", garmin.activities),
+for _name, _category, _type in [
+    ("garmin_heart_rates", "heart_rates", "heart_rates"),
+    ("garmin_sleep", "sleep", "sleep"),
+    ("garmin_stress", "stress", "stress"),
+    ("garmin_hrv", "hrv", "hrv"),
+    ("garmin_spo2", "spo2", "spo2"),
+    ("garmin_respiration", "respiration", "respiration"),
+    ("garmin_body_battery", "body_battery", "body_battery"),
+    ("garmin_activities", "activities", "activities"),
 ]:
-    query(_name)(lambda ev, spark, sf, c=_category, b=_build: _flat(b(_garmin(ev, c))))
+    query(_name)(lambda ev, spark, sf, c=_category, t=_type: _flat(garmin.events_of(_garmin(ev, c), t)))
+
+
+@query("garmin_daily_stats")
+def _(ev, spark, sf):
+    return _flat(garmin.daily_stats(_garmin(ev, "stats")))
+
+
+@query("garmin_intensity_minutes")
+def _(ev, spark, sf):
+    return _flat(garmin.intensity_minutes(_garmin(ev, "stats")))
 
 
 @query("garmin_to_bronze")
 def _(ev, spark, sf):
-    b = _garmin(ev, *fixtures_categories())
+    b = _garmin(ev, *codes.GARMIN_CATEGORIES)
     return b.select(
         "record_id",
         "ingested_at",
@@ -580,15 +588,9 @@ def _(ev, spark, sf):
     )
 
 
-def fixtures_categories():
-    from pulselake.functions.codes import GARMIN_CATEGORIES
-
-    return tuple(GARMIN_CATEGORIES)
-
-
 @query("garmin_normalize")
 def _(ev, spark, sf):
-    events = garmin.normalize(_garmin(ev, *fixtures_categories()))
+    events = garmin.normalize(_garmin(ev, *codes.GARMIN_CATEGORIES))
     return events.groupBy("metric_type", "unit").agg(
         F.count(F.lit(1)).alias("readings"), F.sum("value").alias("total"), F.max("recorded_at").alias("latest")
     )
@@ -596,7 +598,7 @@ def _(ev, spark, sf):
 
 @query("garmin_rejected_times")
 def _(ev, spark, sf):
-    return garmin.rejected_times(garmin.activities(_garmin(ev, "activities")))
+    return garmin.rejected_times(garmin.events_of(_garmin(ev, "activities"), "activities"))
 
 
 @query("garmin_daily_stats_wide")

@@ -28,14 +28,9 @@ def parse_line(line) -> F.Column:
     return F.when(single & balanced, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
-def _numbered_lines(df: DataFrame, body_col: str, max_lines: int) -> DataFrame:
-    lines = df.withColumn("_lines", split_lines(F.col(body_col)))
-    fits = F.size("_lines") <= max_lines
-    return (
-        lines.where(fits)
-        .select(*df.columns, F.posexplode("_lines").alias("_pos", "_line"))
-        .withColumn("_parsed", parse_line(F.col("_line")))
-    )
+def _fits(body, max_lines: int) -> F.Column:
+    """Whether a body has at most ``max_lines`` lines; short texts are not split for it."""
+    return (F.length(body) < 2 * max_lines) | (F.size(split_lines(body)) <= max_lines)
 
 
 def parse_ndjson(df: DataFrame, body_col: str = "body", max_lines: int = MAX_LINES) -> tuple[DataFrame, DataFrame]:
@@ -46,18 +41,21 @@ def parse_ndjson(df: DataFrame, body_col: str = "body", max_lines: int = MAX_LIN
     Records carry ``line_no`` and ``record``, errors carry ``error``.
     """
     keep = [c for c in df.columns if c != body_col]
-    numbered = _numbered_lines(df, body_col, max_lines)
+    body = F.col(body_col)
+    # Lines are parsed inside the array: as output of the explode a parsed line
+    # is not parsed a second time by a filter on it.
+    parsed = F.posexplode(F.transform(split_lines(body), parse_line)).alias("_pos", "_parsed")
+    numbered = df.where(_fits(body, max_lines)).select(*keep, parsed)
     records = numbered.where(F.col("_parsed").isNotNull()).select(
         *keep, (F.col("_pos") + 1).alias("line_no"), F.col("_parsed").alias("record")
     )
     broken = numbered.where(F.col("_parsed").isNull()).select(
         *keep, F.concat(F.lit("Line "), F.col("_pos") + 1, F.lit(": invalid JSON")).alias("error")
     )
-    count = F.size(split_lines(F.col(body_col)))
-    refused = df.where(count > max_lines).select(
+    refused = df.where(~_fits(body, max_lines)).select(
         *keep,
         F.concat(
-            F.lit("Too many NDJSON lines ("), count, F.lit(f"). Maximum allowed is {max_lines}.")
+            F.lit("Too many NDJSON lines ("), F.size(split_lines(body)), F.lit(f"). Maximum allowed is {max_lines}.")
         ).alias("error"),
     )
     return records, broken.unionByName(refused)

@@ -87,3 +87,12 @@ def test_quarantine_ignores_type_and_time(spark):
     by_type = {"samples": samples, "deletes": deletes}
     g = HealthGraph(lambda t: by_type.get(t, samples.limit(0)), AS_OF)
     assert rows(g.quarantine_unmatched_deletes, "deleted_uuid", "target_table") == [("Z", "unknown")]
+
+
+def test_derived_headers_keep_their_names(spark):
+    from pulselake.operators.ingest import platform_of
+    from pulselake.sources import fixtures
+
+    ev = fixtures.events(spark, "/root/testdata/sf0.001")
+    for chosen in (["deletes"], []):
+        assert platform_of(fixtures.bronze(ev, *chosen)).where("source_platform IS NULL").count() == 0
