@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.functions import codes
-from pulselake.operators.skew import HOT_ROWS, has_hot_keys, hot_keys
+from pulselake.operators.skew import HOT_ROWS, attach, has_hot_keys, hot_keys
 
 IS_DELETE = "operation = 'DELETE'"
 
@@ -176,7 +176,7 @@ def _versions_in_chunks(changes: DataFrame, keys: list[str], tracked: list[str],
     chunks = firsts.select(
         *keys, "_chunk", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_next_chunk")
     )
-    joined = inside.join(chunks, [*keys, "_chunk"])
+    joined = attach(inside, chunks, [*keys, "_chunk"])
     return joined.withColumn("_next", F.coalesce("_next", "_next_chunk")).select(
         *tracked, "_seq", "_deleted", "_tie", "_next"
     )

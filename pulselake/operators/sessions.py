@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulselake.operators.skew import attach
+
 
 def label_sessions(
     df: DataFrame,
@@ -74,13 +76,14 @@ def label_sessions(
     ).otherwise(F.max("_newest").over(before))
     summary = summary.select(*by, "_chunk", "_offset", "_sessions", carried.alias("_carried"))
 
-    joined = rows.withColumns(
+    placed = rows.withColumns(
         {
             "_opened_here": F.sum(F.col("_opens").cast("int")).over(so_far),
             "_open_rn": F.max(open_at).over(so_far),
             "_open_start": F.max(F.when(F.col("_opens"), F.col(start))).over(so_far),
         }
-    ).join(summary, [*by, "_chunk"])
+    )
+    joined = attach(placed, summary, [*by, "_chunk"])
     opened_at = F.coalesce(F.col("_offset") + F.col("_open_rn"), F.col("_carried.at"))
     return joined.select(
         *df.columns,

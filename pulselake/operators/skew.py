@@ -41,5 +41,12 @@ def anti_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, ho
     return ordinary.unionByName(unmatched_hot).select(*left.columns)
 
 
+def attach(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join that treats NULL keys as equal, so rows of a NULL group are kept."""
+    renamed = summary.withColumnsRenamed({k: f"_{k}_of_summary" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}_of_summary")) for k in keys])
+    return rows.join(renamed, same).drop(*[f"_{k}_of_summary" for k in keys])
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -50,6 +50,12 @@ def test_random_spans_over_chunk_borders(spark):
         assert labelled(sessions.label_sessions(intervals(spark, spans), ["user_id"], chunk=chunk)) == brute(spans)
 
 
+def test_rows_without_a_user_are_kept(spark):
+    spans = [("a", 0, 10), (None, 0, 10), (None, 20, 30), (None, 90, 95)]
+    found = rows(sessions.sessionize(intervals(spark, spans), ["user_id"]), "user_id", "session_no", "stage_count")
+    assert found == [("a", 1, 1), (None, 1, 2), (None, 2, 1)]
+
+
 def test_session_windows_agree_without_containment(spark):
     draw, spans, clock = random.Random(8), [], 0
     for _ in range(60):
