@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import decontamination, quality_gam, secret_ledger, source_mix, token_counts
+from pulselake.llm import decontamination, parity_join, quality_gam, secret_ledger, source_mix, token_counts
 from pulselake.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.similarity_components(table(spark, sf_dir, "documents"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found, _ = secret_ledger.scan_versions(docs)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_token_counts,
         op2_benchmark_decontamination,
+        op3_ngram_jaccard_join,
         op5_secret_scan,
         op8_quality_classifier,
         op9_source_mix,
