@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import decontamination, parity_join, quality_gam, secret_ledger, source_mix, token_counts
+from pulselake.llm import decontamination, parity_join, quality_gam, secret_ledger, source_mix, suffix_lm, token_counts
 from pulselake.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(table(spark, sf_dir, "documents"))[0]
 
 
+def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_secret_scan,
         op8_quality_classifier,
         op9_source_mix,
+        op10_suffix_tree_scores,
     )
 }
 
