@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulselake.llm import decontamination, parity_join, quality_gam, secret_ledger, source_mix, suffix_lm, token_counts
+from pulselake.llm import (
+    collision_ann,
+    decontamination,
+    html_layout,
+    parity_join,
+    quality_gam,
+    secret_ledger,
+    source_mix,
+    suffix_lm,
+    token_counts,
+)
 from pulselake.llm.common import table
 
 
@@ -32,6 +42,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similarity_components(table(spark, sf_dir, "documents"))
 
 
+def op4_collision_counting_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found, _ = secret_ledger.scan_versions(docs)
@@ -46,6 +60,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_layout.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,7 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_token_counts,
         op2_benchmark_decontamination,
         op3_ngram_jaccard_join,
+        op4_collision_counting_ann,
         op5_secret_scan,
+        op7_html_layout,
         op8_quality_classifier,
         op9_source_mix,
         op10_suffix_tree_scores,
