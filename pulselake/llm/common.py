@@ -12,8 +12,6 @@ from pyspark.sql.types import StructType
 
 from pulselake.session import work_dir
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LOWER = UPPER.lower()
 # Rows of one Arrow batch. Texts may be long, so batches are short: a batch
 # holds at most this many texts at a time in a Python worker.
 ARROW_ROWS = 512
@@ -45,9 +43,12 @@ def stored(df: DataFrame, purpose: str, partition_by: str | None = None) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z and nothing else."""
-    return F.translate(text, UPPER, LOWER)
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def remainder(doc_id: Column, divisor: int) -> Column:

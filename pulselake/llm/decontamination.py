@@ -25,12 +25,12 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from pulselake.llm.common import stored, texts
+from pulselake.llm.common import fresh, stored, texts
 
 WINDOW_WORDS = 10
 # UTF-8 bytes of test items in one automaton. Each word begins a window, so the
@@ -120,38 +120,48 @@ def character_spans(raw: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int
     return [(int(points[starts[a]]), int(points[ends[b - 1]])) for a, b in ranges]
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """All columns of ``docs`` with a struct ``leak``: words, hit words, items, digest and spans.
+def find_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    size: int = WINDOW_WORDS,
+    shard_bytes: int = SHARD_BYTES,
+    name: str = "leak",
+) -> DataFrame:
+    """All columns of ``docs`` with a struct ``name``: words, hit words, items, digest and spans.
 
     One pass over the documents and no shuffle while the test items fit one
     automaton.
     """
-    docs = docs.drop("leak", "leak_row")
+    docs, row = docs.drop(name), fresh(docs, "leak_row")
     items = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("item_text"))
     total = items.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     if shards == 1:
-        return _scan(docs, items.collect(), size, "leak")
-    keyed = docs.withColumn("leak_row", F.monotonically_increasing_id())
+        return _digested(_scan(docs, items.collect(), size, name), name, F.expr(
+            f"aggregate({name}.ranges, 0L, (n, r) -> n + r.to - r.from)"
+        ))
+    keyed = docs.withColumn(row, F.monotonically_increasing_id())
     keyed = stored(keyed, "leak-rows")
     found = None
     for shard in range(shards):
         part = items.where(F.pmod(F.xxhash64("item_text"), F.lit(shards)) == shard).collect()
-        hits = _scan(keyed.select("leak_row", "text"), part, size, "part").drop("text")
+        hits = _scan(keyed.select(F.col(row).alias("leak_row"), "text"), part, size, "part").drop("text")
         hits = stored(hits.where((F.size("part.ranges") > 0) | F.lit(shard == 0)), "leak-shard")
         found = hits if found is None else found.unionByName(hits)
-    merged_hits = found.groupBy("leak_row").agg(
-        F.max("part.n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("part.ranges"))).alias("ranges"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("part.items")))).alias("items"),
-        F.array_sort(F.flatten(F.collect_list("part.spans"))).alias("spans"),
+    together = found.groupBy(F.col("leak_row").alias(row)).agg(
+        F.struct(
+            F.max("part.n_words").alias("n_words"),
+            F.array_sort(F.flatten(F.collect_list("part.ranges"))).alias("ranges"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("part.items")))).alias("items"),
+            F.array_sort(F.flatten(F.collect_list("part.spans"))).alias("spans"),
+        ).alias(name)
     )
-    joined = keyed.join(merged_hits.select("leak_row", F.struct("n_words", "ranges", "items", "spans").alias("leak")), "leak_row")
     covered = F.expr(
-        "aggregate(leak.ranges, named_struct('n', 0L, 'to', 0L), "
-        "(s, r) -> named_struct('n', s.n + greatest(0L, r.to - greatest(r.from, s.to)), 'to', greatest(s.to, r.to)), s -> s.n)"
+        f"aggregate({name}.ranges, named_struct('n', 0L, 'to', 0L), "
+        "(s, r) -> named_struct('n', s.n + greatest(0L, r.to - greatest(r.from, s.to)), 'to', greatest(s.to, r.to)), "
+        "s -> s.n)"
     )
-    return _digested(joined.drop("leak_row"), covered)
+    return _digested(keyed.join(together, row).drop(row), name, covered)
 
 
 def _scan(docs: DataFrame, items, size: int, name: str) -> DataFrame:
@@ -178,21 +188,19 @@ def _scan(docs: DataFrame, items, size: int, name: str) -> DataFrame:
                 [*batch.columns, pa.array(rows, type=target)], names=[*batch.schema.names, name]
             )
 
-    out = docs.mapInArrow(scan, schema)
-    if name != "leak":
-        return out
-    return _digested(out, F.expr("aggregate(leak.ranges, 0L, (n, r) -> n + r.to - r.from)"))
+    return docs.mapInArrow(scan, schema)
 
 
-def _digested(df: DataFrame, covered) -> DataFrame:
+def _digested(df: DataFrame, name: str, covered: Column) -> DataFrame:
+    part = F.col(name)
     return df.withColumn(
-        "leak",
+        name,
         F.struct(
-            F.col("leak.n_words").alias("n_words"),
+            part["n_words"].alias("n_words"),
             covered.cast("long").alias("n_hit"),
-            F.size("leak.items").cast("long").alias("n_items"),
-            F.sha2(F.concat_ws(",", "leak.items"), 256).alias("items_sha256"),
-            F.col("leak.items").alias("items"),
-            F.col("leak.spans").alias("spans"),
+            F.size(part["items"]).cast("long").alias("n_items"),
+            F.sha2(F.concat_ws(",", part["items"]), 256).alias("items_sha256"),
+            part["items"].alias("items"),
+            part["spans"].alias("spans"),
         ),
     )

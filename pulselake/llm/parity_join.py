@@ -44,11 +44,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from pulselake.llm.common import ARROW_ROWS, stored
+from pulselake.llm.common import ARROW_ROWS, fresh, stored
 from pulselake.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -492,6 +493,65 @@ def _strays_with_all(rows: DataFrame, keys: list[str]) -> DataFrame:
     return strays.join(everyone, keys).where("la <> lb").select("a", "b")
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs`` that stay when one row of each component does, all columns kept.
+
+    The row with the smallest id stays (NULL ids last, then in table order);
+    rows with the empty set all stay. Decisions go back to the rows by id.
+    Only where rows of one id are decided differently, that is where ids
+    repeat, their sets are computed again to tell these rows apart.
+    """
+    join = Join(docs, percent, size)
+    rows = stored(join.result(), "join-result")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    first = rows.where("component is not null").groupBy("component").agg(F.min(order)["row"].alias("row"))
+    stays = rows.where("component is null").select("row").unionByName(first.select("row"))
+    judged = rows.join(stays.withColumn("stays", F.lit(1)), "row", "left").select(
+        "row", "doc_id", F.coalesce("stays", F.lit(0)).alias("stays")
+    )
+    by_id = stored(judged.groupBy("doc_id").agg(F.sum("stays").alias("stay"), F.count(F.lit(1)).alias("all")), "join-by-id")
+    gone = by_id.where("stay < all").select(F.col("doc_id").alias("gone_id"))
+    if by_id.where("stay < all").count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    same_id = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id"))
+    clear = docs.join(gone, same_id, "left_anti")
+    torn = by_id.where("stay > 0 and stay < all").select(F.col("doc_id").alias("gone_id"))
+    if torn.isEmpty():
+        return clear
+    mixed_rows = docs.join(torn, same_id, "left_semi")
+    names = [fresh(docs, n) for n in ("c1", "c2", "place")]
+    schema = StructType([*docs.schema.fields, *StructType.fromDDL(f"{names[0]} long, {names[1]} long").fields])
+
+    def digest(batches):
+        known = WordHashes()
+        for batch in batches:
+            for step in in_steps(batch):
+                raws = [x or b"" for x in step.column("text").cast(pa.binary()).to_pylist()]
+                digests = _digests(*shingle_sets(raws, known, size))
+                yield pa.RecordBatch.from_arrays(
+                    [*step.columns, pa.array(digests[:, 0]), pa.array(digests[:, 1])],
+                    names=[*step.schema.names, *names[:2]],
+                )
+
+    kept = (
+        judged.where("stays = 1")
+        .join(torn, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_semi")
+        .join(join.sets.select("row", "c1", "c2"), "row")
+        .groupBy(F.col("doc_id").alias("kept_id"), F.col("c1").alias("k1"), F.col("c2").alias("k2"))
+        .agg(F.count(F.lit(1)).alias("kept_rows"))
+    )
+    told = mixed_rows.mapInArrow(digest, schema)
+    place = F.row_number().over(W.partitionBy("doc_id", *names[:2]).orderBy("text"))
+    told = told.withColumn(names[2], place)
+    same = (
+        told["doc_id"].cast("long").eqNullSafe(F.col("kept_id"))
+        & (told[names[0]] == F.col("k1"))
+        & (told[names[1]] == F.col("k2"))
+        & (told[names[2]] <= F.col("kept_rows"))
+    )
+    return clear.unionByName(told.join(kept, same, "left_semi").select(*[told[c] for c in docs.columns]))
+
+
 def similarity_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row."""
     return Join(docs, percent, size).result().select("doc_id", "n_shingles", "component_id")

@@ -117,7 +117,7 @@ def scan_versions(
     """Findings of every row of ``versions`` and the rows the ledger gains.
 
     ``versions`` needs ``text``; all its columns come back, with ``blob`` and
-    ``spans``. The second result is stored in the shared folder; append it to
+    ``spans``, which replace columns of these names. The second result is stored in the shared folder; append it to
     the ledger. Copies of a blob are dropped before the shuffle on the mapping
     side and after it, so a blob that holds a third of all rows costs one row
     for each task.
