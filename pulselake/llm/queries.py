@@ -11,6 +11,7 @@ from pulselake.llm import (
     collision_ann,
     decontamination,
     html_layout,
+    license_scan,
     parity_join,
     quality_gam,
     secret_ledger,
@@ -60,6 +61,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, sf_dir, "documents"))[0]
+
+
 def op7_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_layout.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_ngram_jaccard_join,
         op4_collision_counting_ann,
         op5_secret_scan,
+        op6_license_scan,
         op7_html_layout,
         op8_quality_classifier,
         op9_source_mix,
