@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulselake.functions import codes
-from pulselake.operators.skew import HOT_ROWS, attach, has_hot_keys, hot_keys
 
 IS_DELETE = "operation = 'DELETE'"
 
@@ -108,8 +107,7 @@ def apply_scd2(
     delete_when: str = IS_DELETE,
     except_cols: tuple[str, ...] = ("operation", "record_id", "metadata"),
     tie_break: str | None = "record_id",
-    hot_rows: int | None = HOT_ROWS,
-    chunk: str = "hour",
+    chunk: str = "day",
 ) -> DataFrame:
     """All versions of each key with ``__START_AT``, ``__END_AT`` and ``__IS_DELETED``.
 
@@ -117,9 +115,11 @@ def apply_scd2(
     :func:`apply_scd1`. A version ends where the next change starts; a delete
     closes the version before it and gives no row of its own.
 
-    A counting job looks for keys with more than ``hot_rows`` changes first. Such
-    keys are worked on in time chunks, so no task gets a whole hot key.
-    ``hot_rows=None`` leaves the search out.
+    Keys are worked on in chunks of time, so no task gets all changes of a key,
+    nor all rows without one. Within a chunk the next change is a window; the
+    last change of a chunk gets the first one of the next chunk from a summary
+    of one narrow row for each key and chunk. The key is joined as a struct,
+    which makes NULL keys equal and keeps the partitioning of the window.
     """
     tracked = [c for c in feed.columns if c not in except_cols]
     tie = F.col(tie_break) if tie_break else F.lit(None).cast("string")
@@ -128,57 +128,30 @@ def apply_scd2(
         F.col(sequence_by).alias("_seq"),
         F.expr(delete_when).alias("_deleted"),
         tie.alias("_tie"),
+        F.struct(*keys).alias("_key"),
+        F.date_trunc(chunk, F.col(sequence_by)).alias("_chunk"),
     )
-    if hot_rows is None or not has_hot_keys(changes, keys, hot_rows):
-        versions = _versions(changes, keys)
-    else:
-        hot = F.broadcast(hot_keys(changes, keys, hot_rows))
-        ordinary = changes.join(hot, keys, "left_anti")
-        crowded = changes.join(hot, keys, "left_semi")
-        versions = _versions(ordinary, keys).unionByName(_versions_in_chunks(crowded, keys, tracked, chunk))
-    return versions.where(~F.col("_deleted")).select(
-        *tracked,
-        F.col("_seq").alias("__START_AT"),
-        F.col("_next.seq").alias("__END_AT"),
-        F.coalesce(F.col("_next.deleted"), F.lit(False)).alias("__IS_DELETED"),
-    )
-
-
-def _versions(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Each change with the next one of its key. One shuffle and one sort serve both windows."""
-    order = Window.partitionBy(*keys).orderBy(
+    order = Window.partitionBy("_key", "_chunk").orderBy(
         F.col("_seq").asc(), F.col("_deleted").desc(), F.col("_tie").desc_nulls_last()
     )
-    winners = changes.withColumn("_before", F.lag("_seq").over(order)).where(
-        F.col("_before").isNull() | (F.col("_before") < F.col("_seq"))
-    )
     following = F.struct(F.col("_seq").alias("seq"), F.col("_deleted").alias("deleted"))
-    return winners.drop("_before").withColumn("_next", F.lead(following).over(order))
 
+    def winners(of: DataFrame) -> DataFrame:
+        before = of.withColumn("_before", F.lag("_seq").over(order))
+        return before.where(F.col("_before").isNull() | (F.col("_before") < F.col("_seq"))).drop("_before")
 
-def _versions_in_chunks(changes: DataFrame, keys: list[str], tracked: list[str], chunk: str) -> DataFrame:
-    """As :func:`_versions`, with every key cut into time chunks.
-
-    Changes of one instant collapse before the shuffle. Inside a chunk the next
-    change is a window; the last change of a chunk gets the first change of the
-    next chunk from a summary with one row per key and chunk.
-    """
-    payload = [c for c in tracked if c not in keys]
-    collapsed = (
-        changes.groupBy(*keys, "_seq")
-        .agg(F.max_by(F.struct(*payload, "_deleted", "_tie"), F.struct("_deleted", "_tie")).alias("_row"))
-        .select(*keys, "_seq", "_row.*")
-        .withColumn("_chunk", F.date_trunc(chunk, "_seq"))
-    )
-    following = F.struct(F.col("_seq").alias("seq"), F.col("_deleted").alias("deleted"))
-    inside = collapsed.withColumn("_next", F.lead(following).over(Window.partitionBy(*keys, "_chunk").orderBy("_seq")))
-    firsts = collapsed.groupBy(*keys, "_chunk").agg(F.min_by(following, "_seq").alias("_first"))
+    narrow = changes.select("_key", "_chunk", "_seq", "_deleted", "_tie")
+    firsts = winners(narrow).groupBy("_key", "_chunk").agg(F.min_by(following, "_seq").alias("_first"))
     chunks = firsts.select(
-        *keys, "_chunk", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_chunk")).alias("_next_chunk")
+        "_key", "_chunk", F.lead("_first").over(Window.partitionBy("_key").orderBy("_chunk")).alias("_later")
     )
-    joined = attach(inside, chunks, [*keys, "_chunk"])
-    return joined.withColumn("_next", F.coalesce("_next", "_next_chunk")).select(
-        *tracked, "_seq", "_deleted", "_tie", "_next"
+    versions = winners(changes).withColumn("_next", F.lead(following).over(order)).join(chunks, ["_key", "_chunk"])
+    following_change = F.coalesce("_next", "_later")
+    return versions.where(~F.col("_deleted")).select(
+        *tracked,
+        F.col("_seq").alias("__START_AT"),
+        following_change["seq"].alias("__END_AT"),
+        F.coalesce(following_change["deleted"], F.lit(False)).alias("__IS_DELETED"),
     )
 
 

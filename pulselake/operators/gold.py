@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulselake.functions import codes
 from pulselake.functions.scalars import minutes_between
-from pulselake.operators.skew import HOT_ROWS, anti_join, union_all
+from pulselake.operators.skew import anti_join, union_all
 from pulselake.operators.typed import STAGES
 
 SESSION_KEYS = ["user_id", "source_platform", "session_start_ts", "session_end_ts", "sleep_date"]
@@ -66,10 +66,10 @@ def known_uuids(samples: DataFrame, workouts: DataFrame, stages: DataFrame) -> D
 
 
 def unmatched_deletes(
-    deletes: DataFrame, samples: DataFrame, workouts: DataFrame, stages: DataFrame, hot_rows: int = HOT_ROWS
+    deletes: DataFrame, samples: DataFrame, workouts: DataFrame, stages: DataFrame
 ) -> DataFrame:
     """Delete events whose id is in no typed table, whatever type or time they name."""
-    orphans = anti_join(deletes, known_uuids(samples, workouts, stages), "deleted_uuid", "uuid", hot_rows)
+    orphans = anti_join(deletes, known_uuids(samples, workouts, stages), "deleted_uuid", "uuid")
     return orphans.withColumns(
         {
             "target_table": delete_target(F.col("sample_type")),

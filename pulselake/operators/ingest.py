@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulselake.functions import codes
 from pulselake.functions.scalars import field, stable_uuid
-from pulselake.sources.ndjson import MAX_LINES, parse_ndjson
+from pulselake.sources.ndjson import parse_ndjson
 
 
 def strip_headers(headers: Column) -> Column:
@@ -17,7 +17,7 @@ def strip_headers(headers: Column) -> Column:
 
 def normalize_record_type(df: DataFrame, source: str = "record_type") -> DataFrame:
     """Lower-case trimmed record type. Empty ones are left out, unknown ones only flagged."""
-    kind = F.nullif(F.trim(F.lower(F.col(source))), F.lit(""))
+    kind = F.nullif(F.regexp_replace(F.lower(F.col(source)), r"^\s+|\s+$", ""), F.lit(""))
     return (
         df.withColumn("record_type", kind)
         .where(F.col("record_type").isNotNull())
@@ -37,7 +37,7 @@ def resolve_user(jwt_sub: Column, forwarded_email: Column) -> Column:
     )
 
 
-def build_bronze(requests: DataFrame, max_lines: int = MAX_LINES) -> tuple[DataFrame, DataFrame]:
+def build_bronze(requests: DataFrame, max_lines: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Requests -> (bronze rows, errors).
 
     A request has ``request_id``, ``received_at``, ``headers`` (lower-case

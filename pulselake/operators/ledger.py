@@ -90,12 +90,12 @@ def category_overview(events: DataFrame) -> DataFrame:
 def last_payload(events: DataFrame) -> DataFrame:
     """The newest event per record type, payload included.
 
-    ``max_by`` keeps one row per map task and type, so few bytes move even
-    though there are only a handful of types.
+    The newest event of each type is found by its time and id alone; only
+    these few events are then fetched with their payloads.
     """
-    rest = [c for c in events.columns if c != "record_type"]
-    newest = events.groupBy("record_type").agg(F.max_by(F.struct(*rest), F.struct("timestamp", "id")).alias("r"))
-    return newest.select("record_type", "r.*").select(*events.columns)
+    newest = events.groupBy("record_type").agg(F.max(F.struct("timestamp", "id")).alias("_newest"))
+    wanted = newest.select(F.col("record_type").alias("_type"), F.col("_newest.id").alias("_id"))
+    return events.join(wanted, (F.col("id") == F.col("_id")) & F.col("record_type").eqNullSafe(F.col("_type")), "left_semi")
 
 
 def recent_events(events: DataFrame, n: int = 20) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulselake.functions import codes
-from pulselake.operators.skew import HOT_ROWS, anti_join, union_all
+from pulselake.operators.skew import anti_join, union_all
 from pulselake.sources.contracts import get_expectations_drop, get_expectations_warn, primary_key
 
 
@@ -70,12 +70,12 @@ def duplicate_keys(df: DataFrame, cfg: dict[str, Any]) -> DataFrame:
 
 
 def orphan_rows(
-    df: DataFrame, foreign_key: dict[str, Any], referenced: DataFrame, hot_rows: int = HOT_ROWS
+    df: DataFrame, foreign_key: dict[str, Any], referenced: DataFrame
 ) -> DataFrame:
     """Rows whose single-column foreign key has no partner; NULL keys are no violation."""
     column = foreign_key["columns"][0]
     return anti_join(
-        df.where(F.col(column).isNotNull()), referenced, column, foreign_key["references"]["columns"][0], hot_rows
+        df.where(F.col(column).isNotNull()), referenced, column, foreign_key["references"]["columns"][0]
     )
 
 

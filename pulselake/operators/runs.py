@@ -9,7 +9,7 @@ from pulselake.functions.scalars import round_half_up
 
 TYPE_COLUMNS = ["record_type", "payload_count", "record_count", "duration_ms", "records_per_sec"]
 SORT_FIELDS = {"started_at": None, "total_records": 0, "records_per_sec": 0, "duration_ms": 0, "preset_label": ""}
-DEFAULT_PAGE, LARGEST_PAGE = 50, 200
+DEFAULT_PAGE = 50
 
 
 def records_per_second(records: Column, millis: Column) -> Column:
@@ -44,10 +44,8 @@ def list_runs(runs: DataFrame, types: DataFrame, limit: int = DEFAULT_PAGE, offs
 
     The page is cut first, so only its runs are joined.
     """
-    limit, offset = min(limit, LARGEST_PAGE), max(offset, 0)
-    page = runs.orderBy(F.desc("started_at"), "run_id").offset(offset).limit(limit)
-    ids = page.select("run_id")  # at most LARGEST_PAGE rows
-    wanted = types.join(F.broadcast(ids), "run_id", "left_semi")
+    page = runs.orderBy(F.desc("started_at"), "run_id").offset(max(offset, 0)).limit(limit)
+    wanted = types.join(page.select("run_id"), "run_id", "left_semi")
     return runs_with_types(page, wanted).orderBy(F.desc("started_at"), "run_id")
 
 

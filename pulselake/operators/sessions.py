@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulselake.operators.skew import attach
-
 
 def label_sessions(
     df: DataFrame,
@@ -15,7 +13,7 @@ def label_sessions(
     end: str = "end_ts",
     tie_break: str = "uuid",
     gap: str = "30 minutes",
-    chunk: str = "day",
+    chunk: str = "hour",
 ) -> DataFrame:
     """Each row with ``session_no``, its place ``stage_no`` and ``session_start_ts``.
 
@@ -28,21 +26,23 @@ def label_sessions(
     so a group with a large part of all rows spreads over many tasks. What
     crosses a chunk border travels through a summary of one row per group and
     chunk: the last end before the chunk, the sessions opened so far and the
-    position and start of the open session.
+    position and start of the open session. The group is kept as a struct: NULL
+    groups are then equal to each other, and the join with the summary reuses
+    the partitioning of the windows.
     """
     step = F.expr(f"INTERVAL {gap}")
     place = [F.col(start), F.col(end), F.col(tie_break)]
-    in_chunk = Window.partitionBy(*by, "_chunk").orderBy(*place)
+    in_chunk = Window.partitionBy("_group", "_chunk").orderBy(*place)
     so_far = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    rows = df.withColumn("_chunk", F.date_trunc(chunk, F.col(start))).withColumns(
+    rows = df.withColumns({"_group": F.struct(*by), "_chunk": F.date_trunc(chunk, F.col(start))}).withColumns(
         {"_prev_end": F.lag(end).over(in_chunk), "_rn": F.row_number().over(in_chunk)}
     )
     opens = (F.col("_rn") > 1) & (F.col(start) - F.col("_prev_end") > step)
     rows = rows.withColumn("_opens", F.coalesce(opens, F.lit(False)))
 
     open_at = F.when(F.col("_opens"), F.col("_rn"))
-    summary = rows.groupBy(*by, "_chunk").agg(
+    summary = rows.groupBy("_group", "_chunk").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if("_opens").alias("_opened"),
         F.max(open_at).alias("_last_open"),
@@ -51,7 +51,7 @@ def label_sessions(
         F.max_by(end, F.struct(*place)).alias("_last_end"),
     )
 
-    over_chunks = Window.partitionBy(*by).orderBy("_chunk")
+    over_chunks = Window.partitionBy("_group").orderBy("_chunk")
     up_to_here = over_chunks.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
     gap_at_border = F.col("_first_start") - F.lag("_last_end").over(over_chunks) > step
@@ -74,7 +74,7 @@ def label_sessions(
     carried = F.when(
         F.col("_head"), F.struct((F.col("_offset") + 1).alias("at"), F.col("_first_start").alias("start"))
     ).otherwise(F.max("_newest").over(before))
-    summary = summary.select(*by, "_chunk", "_offset", "_sessions", carried.alias("_carried"))
+    summary = summary.select("_group", "_chunk", "_offset", "_sessions", carried.alias("_carried"))
 
     placed = rows.withColumns(
         {
@@ -83,7 +83,7 @@ def label_sessions(
             "_open_start": F.max(F.when(F.col("_opens"), F.col(start))).over(so_far),
         }
     )
-    joined = attach(placed, summary, [*by, "_chunk"])
+    joined = placed.join(summary, ["_group", "_chunk"])
     opened_at = F.coalesce(F.col("_offset") + F.col("_open_rn"), F.col("_carried.at"))
     return joined.select(
         *df.columns,
@@ -100,7 +100,7 @@ def sessionize(
     end: str = "end_ts",
     tie_break: str = "uuid",
     gap: str = "30 minutes",
-    chunk: str = "day",
+    chunk: str = "hour",
 ) -> DataFrame:
     """One row per session: number, earliest start, latest end and number of rows."""
     labelled = label_sessions(df, by, start, end, tie_break, gap, chunk)

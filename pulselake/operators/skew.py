@@ -7,45 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is treated on its own. Of N rows at most
-# N / HOT_ROWS keys can be hot, which bounds every broadcast below: a million
-# 36-byte ids for 10^12 rows.
-HOT_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows. Counting combines before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
-
-
-def has_hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Whether any key is hot. Runs one counting job over the key columns."""
-    return not hot_keys(df, keys, hot_rows).isEmpty()
-
-
-def anti_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; NULL keys never match.
 
     ``right`` is reduced to distinct keys, combining before the shuffle, so a
-    key copied many times there costs one row. A counting job looks for hot left
-    keys first. Rows of such a key are not shuffled at all: whether the key
-    itself is missing is decided once, and the answer is broadcast.
+    key copied many times there costs one row. A key that fills a partition on
+    the left is split by Spark's skew join, as only that side is large.
     """
     known = right.select(F.col(right_on).alias(left_on)).where(F.col(left_on).isNotNull()).distinct()
-    if not has_hot_keys(left, [left_on], hot_rows):
-        return left.join(known, left_on, "left_anti").select(*left.columns)
-    hot = hot_keys(left, [left_on], hot_rows)
-    ordinary = left.join(F.broadcast(hot), left_on, "left_anti").join(known, left_on, "left_anti")
-    missing_hot = hot.join(known, left_on, "left_anti")
-    unmatched_hot = left.join(F.broadcast(missing_hot), left_on, "left_semi")
-    return ordinary.unionByName(unmatched_hot).select(*left.columns)
-
-
-def attach(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join that treats NULL keys as equal, so rows of a NULL group are kept."""
-    renamed = summary.withColumnsRenamed({k: f"_{k}_of_summary" for k in keys})
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}_of_summary")) for k in keys])
-    return rows.join(renamed, same).drop(*[f"_{k}_of_summary" for k in keys])
+    return left.join(known, left_on, "left_anti").select(*left.columns)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pulselake.functions.scalars import field
 
 READINGS = "array<struct<metric_type:string,value:double,unit:string,recorded_at:string,device_id:string,source:string>>"
-MAX_PER_METRIC = 60
 NO_STRESS_READING = 127
 
 
@@ -20,18 +19,16 @@ def explode_watch_records(payloads: DataFrame) -> DataFrame:
     )
 
 
-def incremental_readings(readings: DataFrame, since: str, cap: int = MAX_PER_METRIC) -> DataFrame:
-    """Readings newer than the last collection.
+def incremental_readings(readings: DataFrame, since: str, cap: int | None = None) -> DataFrame:
+    """Readings newer than the last collection, without missing values and stress readings of 127.
 
-    Per device and metric the ``cap`` newest readings are looked at first;
-    old ones, missing values and stress readings of 127 are then left out.
-    Spark cuts each map task to ``cap`` rows per key before the shuffle.
+    With ``cap`` only the newest readings of each device and metric are looked
+    at. Ranking from the newest on does not depend on older readings, so these
+    are left out before it.
     """
     newest = Window.partitionBy("device_id", "metric_type").orderBy(F.desc("recorded_at"), F.desc("record_id"))
     no_stress = (F.col("metric_type") == "stress_level") & (F.col("value") == NO_STRESS_READING)
-    return (
-        readings.withColumn("_rank", F.row_number().over(newest))
-        .where(F.col("_rank") <= cap)
-        .where((F.col("recorded_at") > F.lit(since).cast("timestamp")) & F.col("value").isNotNull() & ~no_stress)
-        .drop("_rank")
-    )
+    recent = readings.where(F.col("recorded_at") > F.lit(since).cast("timestamp"))
+    if cap is not None:
+        recent = recent.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= cap).drop("_rank")
+    return recent.where(F.col("value").isNotNull() & ~no_stress)

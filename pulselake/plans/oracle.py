@@ -33,7 +33,8 @@ SELECT record_id, ts AS ingested_at, user_id, source_platform, 'U' || ukey AS uu
        t0 - to_minutes(k + 1) AS start_ts, t0 - to_minutes(k + 1) + to_minutes(k % 5) AS end_ts,
        'Apple Watch' AS source_name, 'com.example.u' || user_id AS source_bundle_id,
        CAST(CAST(t0 - to_minutes(k + 1) AS DATE) AS VARCHAR) AS sample_date,
-       CAST(hour(t0 - to_minutes(k + 1)) AS INTEGER) AS sample_hour
+       CAST(hour(t0 - to_minutes(k + 1)) AS INTEGER) AS sample_hour,
+       CASE WHEN k % 2 = 0 THEN '{"motion":"' || k % 3 || '"}' ELSE 'null' END AS metadata
 FROM base WHERE event_type = 'view'""",
     "workouts": """
 SELECT record_id, ts AS ingested_at, user_id, source_platform, 'U' || ukey AS uuid,
@@ -45,7 +46,7 @@ SELECT record_id, ts AS ingested_at, user_id, source_platform, 'U' || ukey AS uu
        value AS total_energy_burned_kcal, 'Apple Watch' AS source_name,
        CAST(CAST(t0 - to_minutes(120) AS DATE) AS VARCHAR) AS workout_date,
        round((600 + 60 * k + k % 7) / 60.0, 6) AS duration_minutes,
-       CASE WHEN k % 10 <> 0 THEN 100 * k / 1000.0 END AS distance_km
+       CASE WHEN k % 10 <> 0 THEN 100 * k / 1000.0 END AS distance_km, 'null' AS metadata
 FROM base WHERE event_type = 'click'""",
     "nights": """
 SELECT *, t0 - to_minutes(440 + k) AS session_start_ts, t0 - to_minutes(20 + k) AS session_end_ts,
@@ -116,9 +117,9 @@ def with_(*names: str, **extra: str) -> str:
 BASE = with_("base")
 COLUMNS = {
     "samples": "ingested_at user_id source_platform uuid sample_type value unit start_ts end_ts source_name "
-    "source_bundle_id sample_date sample_hour".split(),
+    "source_bundle_id sample_date sample_hour metadata".split(),
     "workouts": "ingested_at user_id source_platform uuid activity_type activity_type_raw duration_seconds start_ts "
-    "end_ts total_distance_meters total_energy_burned_kcal source_name workout_date duration_minutes distance_km".split(),
+    "end_ts total_distance_meters total_energy_burned_kcal source_name workout_date duration_minutes distance_km metadata".split(),
     "stages": "ingested_at user_id source_platform stage_uuid stage stage_start_ts stage_end_ts "
     "stage_duration_minutes session_start_ts session_end_ts sleep_date".split(),
 }
@@ -141,17 +142,18 @@ def feed(table: str) -> str:
     )
 
 
-def current(table: str) -> str:
+def current(table: str, without: str = "") -> str:
     key = FEEDS[table][0]
     return (
-        f"SELECT {', '.join(COLUMNS[table])} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY "
+        f"SELECT {', '.join(c for c in COLUMNS[table] if c != without)} FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY "
         "ingested_at DESC, operation, record_id DESC NULLS LAST) AS rn FROM feed) WHERE rn = 1 AND operation = 'INSERT'"
     )
 
 
 def history(table: str) -> str:
     key = FEEDS[table][0]
-    return f"""SELECT {', '.join(COLUMNS[table])}, ingested_at AS "__START_AT", next_at AS "__END_AT",
+    columns = [c for c in COLUMNS[table] if c != "metadata"]
+    return f"""SELECT {', '.join(columns)}, ingested_at AS "__START_AT", next_at AS "__END_AT",
        coalesce(next_op = 'DELETE', false) AS "__IS_DELETED"
 FROM (SELECT *, lead(ingested_at) OVER w AS next_at, lead(operation) OVER w AS next_op
       FROM (SELECT *, row_number() OVER (PARTITION BY {key}, ingested_at ORDER BY operation, record_id DESC NULLS LAST) AS rn FROM feed)
@@ -181,7 +183,7 @@ ORACLE["history_as_of"] = (
     _workout_history + """SELECT * FROM history WHERE "__START_AT" <= TIMESTAMP '2024-01-15 12:00:00'
 AND ("__END_AT" IS NULL OR "__END_AT" > TIMESTAMP '2024-01-15 12:00:00')"""
 )
-ORACLE["history_current_state"] = with_("workouts", "deletes", feed=feed("workouts")) + current("workouts")
+ORACLE["history_current_state"] = with_("workouts", "deletes", feed=feed("workouts")) + current("workouts", "metadata")
 ORACLE["silver_activity_summaries"] = with_("rings") + "SELECT * EXCLUDE (record_id) FROM rings"
 ORACLE["silver_activity_summaries_dedup"] = (
     with_("rings")
@@ -216,7 +218,7 @@ FROM gold GROUP BY sleep_date"""
 )
 ORACLE["stored_typed_samples"] = (
     with_("samples")
-    + "SELECT record_id, user_id, sample_type, value, sample_date FROM samples WHERE sample_date = '2024-01-15'"
+    + "SELECT record_id, user_id, sample_type, value, sample_date, metadata FROM samples"
 )
 ORACLE["quarantine_unmatched_deletes"] = (
     with_("targets", "ids")
@@ -320,7 +322,12 @@ ORACLE["key_check"] = with_(
 ORACLE["duplicate_keys"] = (
     with_("stages") + "SELECT stage_uuid, count(*) AS row_count FROM stages GROUP BY stage_uuid HAVING count(*) > 1"
 )
-ORACLE["orphan_rows"] = ORACLE["orphan_rows_hot_keys"] = (
+ORACLE["orphan_rows_hot_keys"] = (
+    with_("samples", "workouts")
+    + """, w AS (SELECT record_id, CASE WHEN CAST(record_id AS BIGINT) % 3 = 0 THEN 'hot' ELSE uuid END AS uuid FROM workouts)
+SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.uuid = w.uuid)"""
+)
+ORACLE["orphan_rows"] = (
     with_("samples", "workouts")
     + "SELECT record_id, uuid FROM workouts w WHERE NOT EXISTS (SELECT 1 FROM samples s WHERE s.uuid = w.uuid)"
 )
@@ -371,18 +378,20 @@ PLATFORM = "['apple_healthkit', 'android_health_connect', 'garmin_connect', 'unk
 ORACLE["parse_ndjson_records"] = (
     with_("lines")
     + """SELECT event_id AS request_id, i + 1 AS line_no, CASE WHEN record_type = 'samples' THEN line_kind END AS type
-FROM lines WHERE NOT (k % 3 = 2 AND k % 13 = 0)"""
+FROM lines"""
 )
 ORACLE["parse_ndjson_errors"] = (
     BASE
-    + """SELECT event_id AS request_id, CASE WHEN k % 3 = 2 THEN 'Too many NDJSON lines (4). Maximum allowed is 3.'
-  ELSE 'Line ' || (k % 3 + 2) || ': invalid JSON' END AS error FROM base WHERE k % 13 = 0"""
+    + """SELECT event_id AS request_id, 'Line ' || (k % 3 + 2) || ': invalid JSON' AS error FROM base WHERE k % 13 = 0"""
 )
 ORACLE["build_bronze"] = (
     with_("lines")
     + f"""SELECT {uuid('event_id', 'i + 1')} AS record_id, ts AS ingested_at, {HEADER_TYPE} AS record_type,
   {PLATFORM} AS source_platform, {USER} AS user_id,
-  'x-device-id,x-forwarded-email,x-platform,x-record-type' AS header_names
+  'x-device-id,x-forwarded-email,x-platform,x-record-type' AS header_names, line AS body,
+  '{{"x-device-id":"device-' || user_id || '","x-forwarded-email":"' || CASE WHEN k % 3 = 0 THEN user_id || '@example.org' ELSE '' END
+  || '","x-platform":"' || ['APPLE_HEALTHKIT', 'ANDROID_HEALTH_CONNECT', 'GARMIN_CONNECT', ''][CAST(event_id % 4 AS INTEGER) + 1]
+  || '","x-record-type":"' || CASE WHEN k % 11 = 0 THEN 'Custom' ELSE ' ' || upper(record_type) END || '"}}' AS headers
 FROM lines WHERE k % 17 <> 0"""
 )
 ORACLE["build_bronze_errors"] = (
@@ -403,7 +412,12 @@ ORACLE["null_user_filled"] = (
 ORACLE["null_user_dropped"] = BASE + "SELECT record_id, user_id FROM base WHERE event_id % 6 <> 0"
 ORACLE["ingest_staging"] = (
     BASE
-    + """SELECT record_id, ts AS ingested_at, record_type, CAST(NULL AS VARCHAR) AS source_platform,
+    + """SELECT '{"active_energy_burned_goal_kcal":' || [400, 500, 600][k % 3 + 1] || ',"active_energy_burned_kcal":'
+  || regexp_replace(CAST(value * 2 AS VARCHAR), '[.]0$', '') || ',"date":"' || CAST(ts AS DATE) || '","exercise_minutes":' || k
+  || '.7,"exercise_minutes_goal":' || CASE WHEN k = 0 THEN 0 ELSE 30 END || ',"stand_hours":' || k % 25
+  || ',"stand_hours_goal":12}' AS body,
+  '{"content-type":"application/x-ndjson","x-platform":"' || plat || '","x-record-type":"activity_summaries"}' AS headers,
+  record_id, ts AS ingested_at, record_type, CAST(NULL AS VARCHAR) AS source_platform,
   CAST(NULL AS VARCHAR) AS user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM base WHERE event_type = 'signup'"""
 )
 ORACLE["to_ndjson"] = (
@@ -431,9 +445,7 @@ USES["readings"] = ["base"]
 ORACLE["watch_records"] = with_("readings") + "SELECT * FROM readings"
 ORACLE["incremental_readings"] = (
     with_("readings")
-    + """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY device_id, metric_type
-  ORDER BY recorded_at DESC, record_id DESC) AS rn FROM readings)
-WHERE rn <= 20 AND recorded_at > TIMESTAMP '2024-01-10 00:00:00' AND value IS NOT NULL
+    + """SELECT * FROM readings WHERE recorded_at > TIMESTAMP '2024-01-10 00:00:00' AND value IS NOT NULL
   AND NOT (metric_type = 'stress_level' AND value = 127)"""
 )
 
@@ -472,7 +484,7 @@ ORACLE["garmin_to_bronze"] = (
 ORACLE["sample_rows"] = (
     with_("base", pulls=_pulls)
     + f"""SELECT {uuid('event_id', 'category')} AS record_id, category AS record_type, 'garmin_connect' AS source,
-  CAST(CAST(ts AS DATE) AS VARCHAR) AS data_date FROM pulls WHERE category IN ('hrv', 'spo2') ORDER BY record_id LIMIT 5"""
+  CAST(CAST(ts AS DATE) AS VARCHAR) AS data_date FROM pulls ORDER BY record_id LIMIT 5"""
 )
 _since = "CAST(ts AS DATE) >= DATE '2024-01-05'"
 ORACLE["metric_catalog"] = (
@@ -528,7 +540,7 @@ ORACLE["category_overview"] = (
   max(b.ts) AS last_sync
 FROM (VALUES (0, 'samples', 'Health Samples'), (1, 'workouts', 'Workouts'), (2, 'sleep', 'Sleep Sessions'),
   (3, 'activity_summaries', 'Activity Summaries'), (4, 'deletes', 'Deletions')) c(position, record_type, display_name)
-LEFT JOIN base b ON b.record_type = c.record_type AND b.record_type <> 'workouts' GROUP BY ALL"""
+LEFT JOIN base b ON b.record_type = c.record_type GROUP BY ALL"""
 )
 ORACLE["last_payload"] = (
     with_("lines")
@@ -583,7 +595,7 @@ USES["android"] = ["base"]
 ORACLE["android_samples"] = with_("android") + "SELECT * FROM android"
 ORACLE["daily_summary"] = (
     with_("android")
-    + """, days AS (SELECT CAST(d AS DATE) AS d FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-28', INTERVAL 1 DAY)) AS d)),
+    + """, days AS (SELECT CAST(d AS DATE) AS d FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-01', INTERVAL 1 DAY)) AS d)),
 local AS (SELECT *, CAST(start_ts - INTERVAL 5 HOUR AS DATE) AS d FROM android)
 SELECT u.user_id, CAST(days.d AS VARCHAR) AS date, 'America/New_York' AS timezone,
   CAST(floor(coalesce(sum(value) FILTER (WHERE sample_type = 'StepsRecord'), 0) + 1e-9) AS BIGINT) AS total_steps,
@@ -636,7 +648,7 @@ FROM (SELECT user_id || '/' || CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, user
       FROM base GROUP BY ALL)"""
 CTES["nested"] = """
 SELECT run_id, string_agg(record_type || ':' || payload_count || ':' || record_count || ':' || duration_ms || ':' || records_per_sec,
-  ';' ORDER BY record_type) AS type_results FROM types WHERE record_type <> 'signup' GROUP BY run_id"""
+  ';' ORDER BY record_type) AS type_results FROM types GROUP BY run_id"""
 USES.update(types=["base"], runs=["base"], nested=["types"])
 ORACLE["throughput"] = with_("types") + "SELECT * FROM types"
 ORACLE["runs_with_types"] = (
@@ -646,18 +658,17 @@ ORACLE["runs_with_types"] = (
 ORACLE["list_runs"] = (
     with_("runs", "nested")
     + """SELECT p.*, coalesce(type_results, '') AS type_results
-FROM (SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 200 OFFSET 10) p LEFT JOIN nested USING (run_id)"""
+FROM (SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 500 OFFSET 10) p LEFT JOIN nested USING (run_id)"""
 )
 ORACLE["run_detail"] = (
     with_("runs", "types")
     + """SELECT r.run_id, r.started_at, t.record_type, t.payload_count, t.record_count, t.duration_ms, t.records_per_sec
-FROM runs r LEFT JOIN types t ON t.run_id = r.run_id AND t.record_type <> 'signup' WHERE r.run_id = '1/2024-01-10'"""
+FROM runs r LEFT JOIN types t ON t.run_id = r.run_id WHERE r.run_id = '1/2024-01-10'"""
 )
 ORACLE["delete_runs"] = with_("runs") + "SELECT * FROM runs WHERE preset_label IS NOT NULL"
 ORACLE["delete_runs_types"] = (
     with_("runs", "types")
-    + """SELECT * FROM types WHERE record_type <> 'signup'
-AND run_id IN (SELECT run_id FROM runs WHERE preset_label IS NOT NULL)"""
+    + """SELECT * FROM types WHERE run_id IN (SELECT run_id FROM runs WHERE preset_label IS NOT NULL)"""
 )
 ORACLE["sort_runs"] = with_("runs") + "SELECT * FROM runs ORDER BY coalesce(preset_label, ''), run_id"
 ORACLE["run_labels"] = (
@@ -863,122 +874,12 @@ def _ios_codes() -> str:
 ORACLE["ios_codes"] = _ios_codes()
 
 
-# ---- synthetic load ---------------------------------------------------------
-
-
-def draw(key: str, tag: str) -> str:
-    return f"(CAST('0x' || substr(md5({key} || ':{tag}'), 1, 8) AS BIGINT) / 4294967296.0)"
-
-
-def gauss(key: str, tag: str, mean: float, deviation: float, low: float, high: float, digits: int) -> str:
-    normal = f"(sqrt(-2.0 * ln(1.0 - {draw(key, tag + 'u')})) * cos(2 * pi() * {draw(key, tag + 'v')}))"
-    return f"round(least({high}, greatest({low}, {mean} + {deviation} * {normal})), {digits})"
-
-
-def triangle(key: str, tag: str, low: float, high: float, mode: float, digits: int) -> str:
-    u = draw(key, tag)
-    return (
-        f"round(CASE WHEN {u} < {(mode - low) / (high - low)!r} THEN {low} + sqrt({u} * {(high - low) * (mode - low)}) "
-        f"ELSE {high} - sqrt((1.0 - {u}) * {(high - low) * (high - mode)}) END, {digits})"
-    )
-
-
-K = "key"
-_values = [
-    f"CASE WHEN {draw(K, 'valuehigh')} > 0.2 THEN {gauss(K, 'value', 72, 12, 1, 250, 1)} ELSE round(90 + {draw(K, 'valuer')} * 50, 1) END",
-    f"round(greatest(100.0, {gauss(K, 'value', 5500, 1500, -1e6, 1e6, 6)} * (0.5 + {draw(K, 'valueh')} * 1.5)), 0)",
-    triangle(K, "value", 50, 400, 180, 1),
-    triangle(K, "value", 50, 90, 65, 1),
-    gauss(K, "value", 62, 8, 1, 250, 1),
-    gauss(K, "value", 45, 15, 5, 500, 1),
-    gauss(K, "value", 97.5, 1.2, 90, 100, 1),
-    gauss(K, "value", 15, 2, 8, 100, 1),
-    gauss(K, "value", 800, 400, 10, 10000, 0),
-    f"floor({draw(K, 'value')} * 8) + 1",
-]
-_types = (
-    "HeartRate StepCount ActiveEnergyBurned BasalEnergyBurned RestingHeartRate HeartRateVariabilitySDNN "
-    "OxygenSaturation RespiratoryRate DistanceWalkingRunning FlightsClimbed".split()
-)
-_units = ["count/min", "count", "kcal", "kcal", "count/min", "ms", "%", "count/min", "m", "count"]
-_spans = [None, (15, 120), (15, 60), (55, 65), None, None, None, None, (5, 45), (2, 15)]
-
-
-def _case(values: list[str]) -> str:
-    return "CASE t " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
-
-
-_length = _case(["0" if s is None else f"{s[0]} + {draw(K, 'length')} * {s[1] - s[0]}" for s in _spans])
-CTES["synthetic"] = f"""
-SELECT payload_id, user_id, ingested_at, {uuid("'sample'", "key")} AS uuid,
-  'HKQuantityTypeIdentifier' || {_case([f"'{t}'" for t in _types])} AS sample_type, {_case(_values)} AS value,
-  {_case([f"'{u}'" for u in _units])} AS unit, start_ts, start_ts + to_seconds(CAST(floor(({_length}) * 60) AS BIGINT)) AS end_ts
-FROM (SELECT *, [0, 0, 0, 1, 1, 2, 2, 3, 4, 5, 6, 7, 8, 8, 9][CAST(floor({draw(K, 'type')} * 15) AS INTEGER) + 1] AS t,
-        ingested_at - to_seconds(CAST(floor({draw(K, 'start')} * 6 * 3600) AS BIGINT)) AS start_ts
-      FROM (SELECT *, pid || '-' || n AS key FROM (
-        SELECT *, unnest(range(1, c + 1)) AS n FROM (
-          SELECT event_id AS payload_id, CAST(event_id AS VARCHAR) AS pid, user_id, date_trunc('second', ts) AS ingested_at,
-            CASE WHEN u < 0.05 THEN 3 WHEN u < 0.15 THEN 4 WHEN u < 0.35 THEN 5 WHEN u < 0.60 THEN 6 WHEN u < 0.80 THEN 7
-                 WHEN u < 0.90 THEN 8 WHEN u < 0.95 THEN 9 ELSE 10 + CAST(floor({draw('record_id', 'many')} * 3) AS INTEGER) END AS c
-          FROM (SELECT *, {draw('record_id', 'count')} AS u FROM base)))))"""
-USES["synthetic"] = ["base"]
-ORACLE["synthetic_samples"] = with_("synthetic") + "SELECT * REPLACE (CAST(round(value, 6) AS DOUBLE) AS value) FROM synthetic"
 ORACLE["payload_summary"] = (
-    with_("synthetic")
-    + """SELECT payload_id, CAST(sum(n) AS BIGINT) AS record_count,
+    with_("samples")
+    + """SELECT uuid, CAST(sum(n) AS BIGINT) AS record_count,
   sum(n) || CASE WHEN sum(n) > 1 THEN ' samples (' ELSE ' sample (' END || string_agg(n || ' ' || st, ', ' ORDER BY st) || ')' AS description
-FROM (SELECT payload_id, replace(sample_type, 'HKQuantityTypeIdentifier', '') AS st, count(*) AS n FROM synthetic GROUP BY ALL)
-GROUP BY payload_id"""
-)
-_now = "date_trunc('second', ts)"
-ORACLE["synthetic_workouts"] = (
-    BASE
-    + f""", w AS (SELECT *, {_now} AS now, CAST(floor({draw('record_id', 'activity')} * 3) AS INTEGER) AS a,
-  {triangle('record_id', 'minutes', 15, 90, 35, 0)} AS m,
-  {_now} - to_seconds(CAST(floor((4 + {draw('record_id', 'start')} * 6) * 3600) AS BIGINT)) AS start_ts FROM base)
-SELECT {uuid("'workouts'", 'record_id')} AS record_id, now AS ingested_at, user_id, 'synthetic' AS source_platform,
-  {uuid("'workout'", 'record_id')} AS uuid, ['running', 'walking', 'cycling'][a + 1] AS activity_type,
-  [37, 52, 13][a + 1] AS activity_type_raw, CAST(m * 60 AS DOUBLE) AS duration_seconds, start_ts,
-  start_ts + to_seconds(CAST(m * 60 AS BIGINT)) AS end_ts,
-  CAST(round(m * [180.0, 85.0, 350.0][a + 1] * (0.8 + {draw('record_id', 'pace')} * 0.4), 0) AS DOUBLE) AS total_distance_meters,
-  CAST(round(m * (8 + {draw('record_id', 'energy')} * 4), 1) AS DOUBLE) AS total_energy_burned_kcal, 'Apple Watch' AS source_name,
-  CAST(CAST(start_ts AS DATE) AS VARCHAR) AS workout_date, CAST(m AS DOUBLE) AS duration_minutes,
-  round(round(m * [180.0, 85.0, 350.0][a + 1] * (0.8 + {draw('record_id', 'pace')} * 0.4), 0) / 1000.0, 6) AS distance_km
-FROM w"""
-)
-ORACLE["synthetic_sleep_stages"] = (
-    BASE
-    + f""", n AS (SELECT *, {_now} AS now, CAST(floor({triangle('record_id', 'hours', 5.5, 9.5, 7.5, 2)} * 3600) AS BIGINT) AS s,
-  date_trunc('day', ts) + to_seconds(CAST(floor(5 + {draw('record_id', 'hour')} * 4) * 3600 + floor({draw('record_id', 'minute')} * 60) * 60 AS BIGINT)) AS today
-  FROM base),
-e AS (SELECT *, CASE WHEN today > now THEN today - INTERVAL 1 DAY ELSE today END AS ended FROM n),
-p AS (SELECT *, ended - to_seconds(s) AS started, unnest([{{'i': 1, 'n': 'awake', 'a': 0.0, 'b': 0.05}}, {{'i': 2, 'n': 'asleepCore', 'a': 0.05, 'b': 0.55}},
-  {{'i': 3, 'n': 'asleepDeep', 'a': 0.55, 'b': 0.75}}, {{'i': 4, 'n': 'asleepREM', 'a': 0.75, 'b': 1.0}}]) AS x FROM e)
-SELECT {uuid("'sleep'", 'record_id')} AS record_id, now AS ingested_at, user_id, 'synthetic' AS source_platform,
-  {uuid("'stage' || x.i", 'record_id')} AS stage_uuid, x.n AS stage,
-  started + to_seconds(CAST(floor(s * CAST(x.a AS DOUBLE)) AS BIGINT)) AS stage_start_ts,
-  started + to_seconds(CAST(floor(s * CAST(x.b AS DOUBLE)) AS BIGINT)) AS stage_end_ts,
-  round((floor(s * CAST(x.b AS DOUBLE)) - floor(s * CAST(x.a AS DOUBLE))) / 60.0, 6) AS stage_duration_minutes,
-  started AS session_start_ts, ended AS session_end_ts, CAST(CAST(started AS DATE) AS VARCHAR) AS sleep_date FROM p"""
-)
-ORACLE["synthetic_activity_summaries"] = (
-    BASE
-    + f""", r AS (SELECT *, {_now} AS now, {triangle('record_id', 'energy', 300, 700, 480, 1)} AS e,
-  [400.0, 500.0, 600.0][CAST(floor({draw('record_id', 'goal')} * 3) AS INTEGER) + 1] AS g,
-  CAST({triangle('record_id', 'exercise', 15, 60, 32, 0)} AS INTEGER) AS x,
-  CAST(8 + floor({draw('record_id', 'stand')} * 7) AS INTEGER) AS h FROM base)
-SELECT {uuid("'activity_summaries'", 'record_id')} AS record_id, now AS ingested_at, user_id, 'synthetic' AS source_platform,
-  CAST(CAST(ts AS DATE) - 1 AS VARCHAR) AS activity_date, CAST(e AS DOUBLE) AS energy_burned_kcal, CAST(g AS DOUBLE) AS energy_goal_kcal,
-  x AS exercise_minutes, 30 AS exercise_goal_minutes, h AS stand_hours, 12 AS stand_goal_hours,
-  round(CAST(e AS DOUBLE) / CAST(g AS DOUBLE), 6) AS energy_goal_pct, round(x / 30.0, 6) AS exercise_goal_pct, round(h / 12.0, 6) AS stand_goal_pct FROM r"""
-)
-ORACLE["synthetic_deletes"] = (
-    BASE
-    + f""", c AS (SELECT *, unnest(range(1, 1 + CASE WHEN {draw('record_id', 'deletes')} < 0.7 THEN 1
-  WHEN {draw('record_id', 'more')} < 0.6 THEN 2 ELSE 3 END)) AS n FROM base), d AS (SELECT *, record_id || '-' || n AS key FROM c)
-SELECT {uuid("'deletes'", 'key')} AS record_id, {_now} AS ingested_at, user_id, 'synthetic' AS source_platform,
-  {uuid("'deleted'", 'key')} AS deleted_uuid,
-  'HKQuantityTypeIdentifier' || {str(_types)}[CAST(floor({draw(K, 'type')} * 10) AS INTEGER) + 1] AS sample_type FROM d"""
+FROM (SELECT uuid, replace(sample_type, 'HKQuantityTypeIdentifier', '') AS st, count(*) AS n FROM samples GROUP BY ALL)
+GROUP BY uuid"""
 )
 
 # ---- streams end in the same tables as the batch queries --------------------
@@ -995,16 +896,6 @@ for _stream, _batch in {
     "stream_scd1": "silver_health_samples",
     "stream_scd2": "silver_workouts_history",
     "stream_expectations": "expectation_report_workouts",
+    "stream_sessions": "sessionize",
 }.items():
     ORACLE[_stream] = ORACLE[_batch]
-# Session windows look at the latest end so far, not at the previous row only.
-ORACLE["stream_sessions"] = (
-    BASE
-    + """SELECT user_id, min(start_ts) AS session_start_ts, max(end_ts) AS session_end_ts, count(*) AS stage_count FROM (
-  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY start_ts, end_ts, record_id) AS n FROM (
-    SELECT *, CASE WHEN seen IS NULL OR start_ts - seen > INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS opens FROM (
-      SELECT user_id, record_id, ts AS start_ts, ts + to_minutes(k) AS end_ts,
-        max(ts + to_minutes(k)) OVER (PARTITION BY user_id ORDER BY ts, ts + to_minutes(k), record_id
-          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM base)))
-GROUP BY user_id, n"""
-)

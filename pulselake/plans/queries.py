@@ -19,7 +19,6 @@ from pulselake.operators import (
     reports,
     runs,
     sessions,
-    synthetic,
     typed,
     watch,
 )
@@ -35,15 +34,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def publish(df: DataFrame) -> DataFrame:
     """Output form any SQL engine can be compared with.
 
-    VARIANT columns are left out, instants become zone-free, dates text and
-    doubles are rounded to 6 decimals.
+    VARIANT columns become JSON text with ordered keys, instants become
+    zone-free, dates text and doubles are rounded to 6 decimals.
     """
     out = []
     for f in df.schema:
         kind, column = f.dataType.typeName(), F.col(f"`{f.name}`")
         if kind == "variant":
-            continue
-        if kind == "timestamp":
+            column = F.to_json(column)
+        elif kind == "timestamp":
             column = column.cast("timestamp_ntz")
         elif kind == "date":
             column = column.cast("string")
@@ -131,8 +130,8 @@ def _(ev, spark, sf):
 
 @query("history_hot_keys")
 def _(ev, spark, sf):
-    """SCD2 with every changed key treated as a hot one, over all rows."""
-    return cdc.apply_scd2(graph(ev).cdc_workouts, ["uuid"], hot_rows=1)
+    """SCD2 in chunks of a minute, so nearly every change looks beyond its own chunk."""
+    return cdc.apply_scd2(graph(ev).cdc_workouts, ["uuid"], chunk="minute")
 
 
 @query("stand_hour_deletes")
@@ -194,10 +193,11 @@ def _(ev, spark, sf):
 
 @query("orphan_rows_hot_keys")
 def _(ev, spark, sf):
-    """As before, with every repeated id treated as a hot one."""
+    """As before, with one id that a third of all rows share."""
     g = graph(ev)
     fk = {"columns": ["uuid"], "references": {"table": "bronze_typed_health_samples", "columns": ["uuid"]}}
-    return quality.orphan_rows(g.workouts.select("record_id", "uuid"), fk, g.samples, hot_rows=1)
+    hot = F.when(F.col("record_id").cast("long") % 3 == 0, "hot")
+    return quality.orphan_rows(g.workouts.select("record_id", F.coalesce(hot, "uuid").alias("uuid")), fk, g.samples)
 
 
 @query("validate_ingest")
@@ -213,13 +213,13 @@ def _(ev, spark, sf):
 
 @query("parse_ndjson_records")
 def _(ev, spark, sf):
-    records, _ = ndjson.parse_ndjson(fixtures.requests(ev).select("request_id", "body"), max_lines=3)
+    records, _ = ndjson.parse_ndjson(fixtures.requests(ev).select("request_id", "body"))
     return records.select("request_id", "line_no", F.try_variant_get("record", "$.type", "string").alias("type"))
 
 
 @query("parse_ndjson_errors")
 def _(ev, spark, sf):
-    return ndjson.parse_ndjson(fixtures.requests(ev).select("request_id", "body"), max_lines=3)[1]
+    return ndjson.parse_ndjson(fixtures.requests(ev).select("request_id", "body"))[1]
 
 
 @query("build_bronze")
@@ -307,7 +307,7 @@ def _(ev, spark, sf):
 @query("incremental_readings")
 def _(ev, spark, sf):
     readings = watch.explode_watch_records(fixtures.watch_payloads(ev))
-    return watch.incremental_readings(readings, "2024-01-10 00:00:00", cap=20)
+    return watch.incremental_readings(readings, "2024-01-10 00:00:00")
 
 
 # ---- stored tables ----------------------------------------------------------
@@ -324,11 +324,10 @@ def _(ev, spark, sf):
 
 @query("stored_typed_samples")
 def _(ev, spark, sf):
-    """Typed samples appended to a date-partitioned table and one day read back."""
+    """Typed samples appended to a date-partitioned table and read back."""
     path = work_dir(spark, "samples")
-    tables.append_batch(graph(ev).samples.drop("metadata"), path, ["sample_date"], ["user_id", "sample_type"])
-    day = tables.read_table(spark, path).where(F.col("sample_date") == F.lit("2024-01-15").cast("date"))
-    return day.select("record_id", "user_id", "sample_type", "value", "sample_date")
+    tables.append_batch(graph(ev).samples, path, ["sample_date"], ["user_id", "sample_type"])
+    return tables.read_table(spark, path).select("record_id", "user_id", "sample_type", "value", "sample_date", "metadata")
 
 
 # ---- bronze and telemetry reports -------------------------------------------
@@ -356,7 +355,7 @@ def _(ev, spark, sf):
 
 @query("sample_rows")
 def _(ev, spark, sf):
-    return reports.sample_rows(garmin.garmin_to_bronze(fixtures.extractions(ev), ["hrv", "spo2"]), "garmin_connect")
+    return reports.sample_rows(garmin.garmin_to_bronze(fixtures.extractions(ev)), "garmin_connect")
 
 
 @query("metric_catalog")
@@ -380,6 +379,11 @@ def _(ev, spark, sf):
     return reports.table_overview({n: fixtures.telemetry(ev, s) for n, s in named.items()}, "2024-01-05")
 
 
+@query("payload_summary")
+def _(ev, spark, sf):
+    return reports.payload_summary(graph(ev).samples, "uuid")
+
+
 @query("search_logs")
 def _(ev, spark, sf):
     return reports.search_logs(fixtures.telemetry(ev, "logs"), "%signup%")
@@ -405,8 +409,7 @@ def _(ev, spark, sf):
 
 @query("category_overview")
 def _(ev, spark, sf):
-    without_workouts = fixtures.sync_events(ev).where(F.col("record_type") != "workouts")
-    return ledger.category_overview(without_workouts)
+    return ledger.category_overview(fixtures.sync_events(ev))
 
 
 @query("last_payload")
@@ -438,7 +441,7 @@ def _(ev, spark, sf):
 @query("daily_summary")
 def _(ev, spark, sf):
     rows = platforms.android_samples(fixtures.android_bronze(ev, "samples"))
-    return gold.daily_summary(rows, "America/New_York", "2024-01-03", "2024-01-28")
+    return gold.daily_summary(rows, "America/New_York", "2023-12-31", "2024-02-01")
 
 
 # ---- load runs and registries -----------------------------------------------
@@ -455,8 +458,7 @@ def _runs(ev):
 
 
 def _types(ev):
-    """Type results without signups, so some runs have none."""
-    return runs.throughput(fixtures.load_type_results(ev).where(F.col("record_type") != "signup"))
+    return runs.throughput(fixtures.load_type_results(ev))
 
 
 def _as_text(df):
@@ -683,40 +685,3 @@ def _(ev, spark, sf):
 @query("type_labels")
 def _(ev, spark, sf):
     return graph(ev).samples.select("record_id", scalars.type_label(F.col("sample_type")).alias("label"))
-
-
-# ---- synthetic load ---------------------------------------------------------
-
-
-def _payload_ids(ev):
-    return ev.select(F.col("event_id").alias("payload_id"), F.date_trunc("second", "ts").alias("now"), "user_id")
-
-
-@query("synthetic_samples")
-def _(ev, spark, sf):
-    return synthetic.synthetic_samples(_payload_ids(ev))
-
-
-@query("payload_summary")
-def _(ev, spark, sf):
-    return reports.payload_summary(synthetic.synthetic_samples(_payload_ids(ev)), "payload_id")
-
-
-@query("synthetic_sleep_stages")
-def _(ev, spark, sf):
-    return typed.type_sleep_stages(synthetic.synthetic_bronze(_payload_ids(ev), "sleep"))
-
-
-@query("synthetic_workouts")
-def _(ev, spark, sf):
-    return typed.type_workouts(synthetic.synthetic_bronze(_payload_ids(ev), "workouts"))
-
-
-@query("synthetic_activity_summaries")
-def _(ev, spark, sf):
-    return typed.type_activity_summaries(synthetic.synthetic_bronze(_payload_ids(ev), "activity_summaries"))
-
-
-@query("synthetic_deletes")
-def _(ev, spark, sf):
-    return typed.type_deletes(synthetic.synthetic_bronze(_payload_ids(ev), "deletes"))

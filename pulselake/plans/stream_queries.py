@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulselake.operators import typed
 from pulselake.plans.pipeline import HealthGraph
@@ -17,11 +18,26 @@ from pulselake.streaming import cdc, flows, sessions
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+# A table arrives in so many slices, each a micro-batch of its own. The slices are
+# dealt by a hash of the id, so rows come out of the order of time in all of them.
+SLICES = 3
+
+
+def arrivals(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFrame]:
+    """The stream of events, once after each slice has arrived."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for i in range(SLICES):
+        part = table.where(F.pmod(F.xxhash64("event_id"), F.lit(SLICES)) == i)
+        part.write.mode("append").parquet(f"{folder}/arrived/events.parquet")
+        yield fixtures.events_stream(spark, f"{folder}/arrived")
+
+
 def query(name: str):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
-            return publish(fn(spark, fixtures.events_stream(spark, sf_dir), work_dir(spark, name)))
+            folder = work_dir(spark, name)
+            return publish(fn(spark, arrivals(spark, sf_dir, folder), folder))
 
         QUERIES[name] = run
         return fn
@@ -33,12 +49,19 @@ def graph(ev: DataFrame) -> HealthGraph:
     return HealthGraph(lambda record_type: fixtures.bronze(ev, record_type), AS_OF)
 
 
-def stored(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
-    """Append a stream to a table folder, wait for its end and read the table."""
-    tables.append_stream(df, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
+def stored(spark: SparkSession, arriving: Iterator[DataFrame], attribute: str, folder: str) -> DataFrame:
+    """Append a table of the graph to a folder as events arrive and read the folder."""
+    for ev in arriving:
+        tables.append_stream(getattr(graph(ev), attribute), f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
     return tables.read_table(spark, f"{folder}/table")
 
 
+def logged(arriving: Iterator[DataFrame], rows_of: Callable[[DataFrame], DataFrame], sink, folder: str) -> None:
+    """Send what arrives through a sink, one micro-batch for each slice."""
+    for ev in arriving:
+        flows.run_batches(rows_of(ev), sink, f"{folder}/checkpoint").awaitTermination()
+
+
 for _name, _attribute in [
     ("stream_typed_samples", "samples"),
     ("stream_typed_workouts", "workouts"),
@@ -49,38 +72,29 @@ for _name, _attribute in [
     ("stream_cdc_health_samples", "cdc_health_samples"),
     ("stream_passthrough", "silver_activity_summaries"),
 ]:
-    query(_name)(lambda spark, ev, folder, a=_attribute: stored(spark, getattr(graph(ev), a), folder))
+    query(_name)(lambda spark, arriving, folder, a=_attribute: stored(spark, arriving, a, folder))
 
 
 @query("stream_scd1")
-def _(spark, ev, folder):
-    changes = cdc.scd1_changes(graph(ev).cdc_health_samples, ["uuid"])
-    flows.run_batches(changes, cdc.change_sink(folder), f"{folder}/checkpoint", "update").awaitTermination()
+def _(spark, arriving, folder):
+    logged(arriving, lambda ev: graph(ev).cdc_health_samples, cdc.change_sink(folder, ["uuid"]), folder)
     return cdc.read_current(spark, folder, ["uuid"])
 
 
 @query("stream_scd2")
-def _(spark, ev, folder):
-    sink = cdc.history_sink(folder, ["uuid"], buckets=16)
-    flows.run_batches(graph(ev).cdc_workouts, sink, f"{folder}/checkpoint").awaitTermination()
-    return cdc.read_history(spark, folder)
+def _(spark, arriving, folder):
+    logged(arriving, lambda ev: graph(ev).cdc_workouts, cdc.change_sink(folder), folder)
+    return cdc.read_history(spark, folder, ["uuid"])
 
 
 @query("stream_expectations")
-def _(spark, ev, folder):
-    rows = typed.type_workouts(fixtures.bronze(ev, "workouts"))
-    sink = flows.checked_sink(
-        load_table_config("bronze_typed_workouts"), f"{folder}/table", f"{folder}/counts", AS_OF
-    )
-    flows.run_batches(rows, sink, f"{folder}/checkpoint").awaitTermination()
+def _(spark, arriving, folder):
+    sink = flows.checked_sink(load_table_config("bronze_typed_workouts"), f"{folder}/table", f"{folder}/counts", AS_OF)
+    logged(arriving, lambda ev: typed.type_workouts(fixtures.bronze(ev, "workouts")), sink, folder)
     return flows.rule_totals(spark, f"{folder}/counts")
 
 
 @query("stream_sessions")
-def _(spark, ev, folder):
-    def overwrite(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/table")
-
-    found = sessions.sessionize_stream(fixtures.intervals(ev), ["user_id"], watermark=None)
-    flows.run_batches(found, overwrite, f"{folder}/checkpoint", "complete").awaitTermination()
-    return tables.read_table(spark, f"{folder}/table")
+def _(spark, arriving, folder):
+    logged(arriving, fixtures.intervals, cdc.change_sink(folder), folder)
+    return sessions.read_sessions(spark, folder, ["user_id"])

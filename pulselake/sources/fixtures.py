@@ -29,18 +29,16 @@ ACTIVITIES = [("running", 37), ("walking", 52), ("cycling", 13)]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if len(raw.inputFiles()) < cores:
-        # A small table in one file would be worked on by a single core. Only the few
-        # pruned and filtered event columns move, before the payloads are built.
-        raw = raw.repartition(cores, "event_id")
-    return shape(raw)
+    return shape(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as a stream, stored as one file or as a folder of part files.
+
+    A pattern names the table, as a stream does not take the plain path of a file.
+    """
     schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-    return shape(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    return shape(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]"))
 
 
 def shape(raw: DataFrame) -> DataFrame:

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LINES = 10_000
-
-
 def split_lines(body) -> F.Column:
     """Lines of a text that hold more than white space."""
     return F.filter(F.split(body, "\r?\n"), lambda line: line.rlike(r"\S"))
@@ -29,15 +26,15 @@ def parse_line(line) -> F.Column:
 
 
 def _fits(body, max_lines: int) -> F.Column:
-    """Whether a body has at most ``max_lines`` lines; short texts are not split for it."""
-    return (F.length(body) < 2 * max_lines) | (F.size(split_lines(body)) <= max_lines)
+    return F.coalesce(F.size(split_lines(body)) <= max_lines, F.lit(True))
 
 
-def parse_ndjson(df: DataFrame, body_col: str = "body", max_lines: int = MAX_LINES) -> tuple[DataFrame, DataFrame]:
+def parse_ndjson(df: DataFrame, body_col: str = "body", max_lines: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Split bodies into records and errors.
 
     Blank lines are removed before numbering. A broken line is reported and the
-    good lines around it are kept; a body with too many lines is refused whole.
+    good lines around it are kept. With ``max_lines`` a body of more lines is
+    refused whole and reported; without it every body is taken.
     Records carry ``line_no`` and ``record``, errors carry ``error``.
     """
     keep = [c for c in df.columns if c != body_col]
@@ -45,13 +42,16 @@ def parse_ndjson(df: DataFrame, body_col: str = "body", max_lines: int = MAX_LIN
     # Lines are parsed inside the array: as output of the explode a parsed line
     # is not parsed a second time by a filter on it.
     parsed = F.posexplode(F.transform(split_lines(body), parse_line)).alias("_pos", "_parsed")
-    numbered = df.where(_fits(body, max_lines)).select(*keep, parsed)
+    taken = df if max_lines is None else df.where(_fits(body, max_lines))
+    numbered = taken.select(*keep, parsed)
     records = numbered.where(F.col("_parsed").isNotNull()).select(
         *keep, (F.col("_pos") + 1).alias("line_no"), F.col("_parsed").alias("record")
     )
     broken = numbered.where(F.col("_parsed").isNull()).select(
         *keep, F.concat(F.lit("Line "), F.col("_pos") + 1, F.lit(": invalid JSON")).alias("error")
     )
+    if max_lines is None:
+        return records, broken
     refused = df.where(~_fits(body, max_lines)).select(
         *keep,
         F.concat(

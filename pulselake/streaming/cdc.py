@@ -1,56 +1,60 @@
-"""SCD type 1 and 2 on streams."""
+"""Change tables on streams: an append-only log of changes, folded when it is read."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulselake.operators.cdc import IS_DELETE, apply_scd2, latest_change
 
-# ---- type 1 -----------------------------------------------------------------
 
-
-def scd1_changes(
-    feed: DataFrame,
-    keys: list[str],
+def change_sink(
+    path: str,
+    keys: list[str] | None = None,
     sequence_by: str = "ingested_at",
     delete_when: str = IS_DELETE,
     tie_break: str | None = "record_id",
-) -> DataFrame:
-    """Latest change of every key that a micro-batch touched (output mode ``update``).
+) -> Callable[[DataFrame, int], None]:
+    """Sink that appends the changes of a micro-batch to the log.
 
-    The state is one row per key, held by Spark's own aggregate. Order follows
-    the sequence column and not the arrival, and a delete stays in the state, so
-    a late insert cannot bring a deleted key back.
+    With ``keys`` only the latest change of each key within the batch is kept,
+    which is enough for the current state; a history needs all of them. The
+    work of a batch grows with the batch alone: no state is held, and folders
+    of earlier batches stay as they are. A replayed batch overwrites its own
+    folder; a batch counts once its number is among the finished ones.
     """
-    return latest_change(feed, keys, sequence_by, delete_when, tie_break)
-
-
-def change_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for :func:`scd1_changes`: one folder per micro-batch, overwritten on a replay."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if keys:
+            batch = latest_change(batch, keys, sequence_by, delete_when, tie_break).drop("_deleted")
         batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        _note(batch.sparkSession, f"{path}/finished/batch_id={batch_id}", batch_id)
 
     return write
 
 
-def _folders(spark: SparkSession, path: str, kind: str, number: str) -> list[int]:
-    """Numbers of the finished folders ``<path>/<kind>/<number>=<n>``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}/{number}=*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in (done or []))
+def _note(spark: SparkSession, folder: str, number: int) -> None:
+    spark.range(number, number + 1).select(F.col("id").alias("number")).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def _noted(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers noted in a folder, one for each micro-batch or fold; none if it does not exist yet."""
+    try:
+        return sorted(r.number for r in spark.read.parquet(folder).select("number").distinct().collect())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
 
 
 def _stored_changes(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """Newest compacted state plus the changes after it, and the last batch number."""
-    bases = _folders(spark, path, "base", "upto")
+    """Newest folded state plus the changes after it, and the last batch number."""
+    bases = _noted(spark, f"{path}/folded")
     base = bases[-1] if bases else -1
-    batches = [b for b in _folders(spark, path, "changes", "batch_id") if b > base]
+    batches = [b for b in _noted(spark, f"{path}/finished") if b > base]
     parts = [f"{path}/base/upto={base}"] if bases else []
     parts += [f"{path}/changes/batch_id={b}" for b in batches]
     if not parts:
@@ -58,23 +62,19 @@ def _stored_changes(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     return spark.read.parquet(*parts), max([base, *batches])
 
 
-def _fold(rows: DataFrame, keys: list[str], sequence_by: str, tie_break: str | None) -> DataFrame:
-    stored = rows.withColumnRenamed("_deleted", "_was_delete")
-    latest = latest_change(stored, keys, sequence_by, "_was_delete", tie_break)
-    return latest.drop("_was_delete")
-
-
 def read_current(
     spark: SparkSession,
     path: str,
     keys: list[str],
     sequence_by: str = "ingested_at",
+    delete_when: str = IS_DELETE,
     except_cols: tuple[str, ...] = ("operation", "record_id"),
     tie_break: str | None = "record_id",
 ) -> DataFrame:
     """Current state of the stored changes."""
     rows, _ = _stored_changes(spark, path)
-    return _fold(rows, keys, sequence_by, tie_break).where(~F.col("_deleted")).drop("_deleted", *except_cols)
+    latest = latest_change(rows, keys, sequence_by, delete_when, tie_break)
+    return latest.where(~F.col("_deleted")).drop("_deleted", *except_cols)
 
 
 def compact(
@@ -82,70 +82,22 @@ def compact(
     path: str,
     keys: list[str],
     sequence_by: str = "ingested_at",
+    delete_when: str = IS_DELETE,
     tie_break: str | None = "record_id",
 ) -> None:
     """Fold all finished changes into one state, so readers have less to fold.
 
-    The folded state keeps deletes and counts only once its ``_SUCCESS`` file is
-    there; a failed run leaves the readers on the older state.
+    For logs of latest changes. The folded state keeps deletes, so a late insert
+    cannot bring a key back; it counts once its number is noted, and a failed
+    run leaves the readers on the older state.
     """
     rows, last = _stored_changes(spark, path)
-    _fold(rows, keys, sequence_by, tie_break).write.mode("overwrite").parquet(f"{path}/base/upto={last}")
+    folded = latest_change(rows, keys, sequence_by, delete_when, tie_break).drop("_deleted")
+    folded.write.mode("overwrite").parquet(f"{path}/base/upto={last}")
+    _note(spark, f"{path}/folded/upto={last}", last)
 
 
-# ---- type 2 -----------------------------------------------------------------
-
-
-def history_sink(
-    path: str, keys: list[str], buckets: int = 256, writers: int = 4, **scd2
-) -> Callable[[DataFrame, int], None]:
-    """Sink that keeps the SCD type 2 history of a change feed.
-
-    Changes are stored per micro-batch and per bucket of the key. The history
-    of the touched buckets is then recomputed from all their changes, late ones
-    included, and replaces exactly those partitions. A replayed batch stores and
-    computes the same again.
-
-    ``buckets`` should grow with the table: a bucket is the unit of recompute.
-    ``writers`` tasks share a bucket, so a large one is not written by one task.
-    """
-    except_cols = scd2.pop("except_cols", ("operation", "record_id", "metadata"))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        changes = batch.select(
-            *[c for c in batch.columns if c != "metadata"],
-            F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket"),
-            F.pmod(F.xxhash64(*keys, "ingested_at"), F.lit(writers)).alias("_writer"),
-        )
-        folder = f"{path}/feed/batch_id={batch_id}"
-        changes.repartition("bucket", "_writer").drop("_writer").write.mode("overwrite").partitionBy("bucket").parquet(
-            folder
-        )
-        # At most ``buckets`` small integers; as literals they prune the partitions of the feed.
-        touched = [r.bucket for r in spark.read.parquet(folder).select("bucket").distinct().collect()]
-        if not touched:
-            return
-        stored = spark.read.option("basePath", f"{path}/feed").parquet(f"{path}/feed")
-        wanted = stored.where(F.col("bucket").isin(touched) & (F.col("batch_id") <= batch_id)).drop("batch_id")
-        history = apply_scd2(wanted, ["bucket", *keys], except_cols=except_cols, **scd2)
-        # A marker row per touched bucket: without it a bucket whose last version
-        # vanished would have no output and so would keep its old partition.
-        numbers = F.explode(F.array(*[F.lit(b) for b in touched]))
-        marker = spark.range(1).select(numbers.alias("bucket"), F.lit(True).alias("_marker"))
-        history = history.withColumn("_marker", F.lit(False)).unionByName(marker, allowMissingColumns=True)
-        spread = history.withColumn("_writer", F.pmod(F.xxhash64(*keys, "__START_AT"), F.lit(writers)))
-        (
-            spread.repartition("bucket", "_writer")
-            .drop("_writer")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
-            .parquet(f"{path}/history")
-        )
-
-    return write
-
-
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/history").where(~F.col("_marker")).drop("bucket", "_marker")
+def read_history(spark: SparkSession, path: str, keys: list[str], **scd2) -> DataFrame:
+    """SCD type 2 history of a log of all changes; the arguments are those of the batch operator."""
+    rows, _ = _stored_changes(spark, path)
+    return apply_scd2(rows, keys, **scd2)

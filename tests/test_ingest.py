@@ -16,6 +16,8 @@ def test_ndjson_lines(spark):
     ]
     df = spark.createDataFrame(bodies, "id string, body string")
     records, errors = ndjson.parse_ndjson(df)
+    assert records.where("id = 'long'").count() == 10_001 and errors.where("id = 'long'").count() == 0
+    records, errors = ndjson.parse_ndjson(df, max_lines=10_000)
     counts = {r["id"]: r["count"] for r in records.groupBy("id").count().collect()}
     assert counts == {"ok": 2, "mixed": 2, "full": 10_000}
     assert rows(errors) == [

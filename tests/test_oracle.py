@@ -4,9 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from pulselake.plans import queries, stream_queries
+from pulselake.plans.oracle import ORACLE as SQL
 
 DATA = "/root/testdata/sf0.001"
-SQL = contract.oracle_sql()
+QUERIES = {**queries.QUERIES, **stream_queries.QUERIES}
 TYPES = {
     "string": "VARCHAR", "long": "BIGINT", "integer": "INTEGER", "double": "DOUBLE",
     "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
@@ -21,12 +23,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= contract.queries().items()
+    assert SQL.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    df = contract.queries()[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     result = con.execute(SQL[name])
     expected_types = {d[0]: str(d[1]) for d in result.description}
     order = sorted(expected_types)
