@@ -8,20 +8,22 @@ A sketch flips one bit for each shingle, so the Hamming distance of two
 sketches never exceeds the symmetric difference of the sets, and a threshold
 on the similarity bounds that difference: for 0.8, a ninth of the sum of both
 sizes. Sets are joined by bands of size. In a band, the sketch is cut into
-more segments than bits may differ; two similar sets therefore agree in some
-segments, and a join on the content of segments finds every pair. What the
-join finds is checked by the Hamming distance of a second, dense sketch and
-then by the sets themselves.
+about twice as many segments as bits may differ; similar sets agree in all
+but so many of them, and a join on the content of segments finds every pair.
+What the join finds is checked by the Hamming distance of a second, dense
+sketch and then by the sets themselves.
 
-A set emits only as many segments as its own size allows to differ, plus
-``spare`` ones, so that any similar pair shares at least two segments with
-shingles in them; a set with too many empty segments emits those as well.
+As similar sets agree in many segments, each may leave out all but one of
+those that must agree, provided that all sets leave out in the same order.
+Segments without a rare shingle go first: shingles that a bounded sample of
+the documents holds several times count as common. The sample decides on
+speed only; no pair depends on it.
 
 Content shared by many sets is not paired in full. Such a bucket first yields
 the pairs with its smallest member, which joins most copies into components.
 Afterwards only buckets whose members still lie in several components are
-looked at again: few strays are paired with all, and otherwise pairs must
-share two such buckets, which similar pairs do.
+looked at again: members outside the main component meet the others, and the
+join itself lets through only pairs whose dense sketches are near enough.
 
 Results:
 
@@ -37,8 +39,6 @@ Results:
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -58,8 +58,12 @@ PERCENT = 80
 BAND = 1.5
 # Buckets of up to so many members yield all their pairs at once.
 SMALL_BUCKET = 8
-# Buckets with up to so many members outside their main component pair these with all.
-FEW_STRAYS = 8
+# Segments beyond twice those that may differ.
+SPARE = 3
+# Documents sampled for common shingles, how often these occur there, and how many are kept.
+SAMPLE_DOCS = 10_000
+COMMON_TIMES = 3
+COMMON_SHINGLES = 500_000
 DENSE_BITS = 1024
 # Text of one vectorised step, and words remembered by one task.
 STEP_BYTES = 4_000_000
@@ -136,12 +140,6 @@ def limits(largest: int) -> list[int]:
     return out
 
 
-def spare(segments: int) -> int:
-    """Segments beyond those that may differ: two, and what is likely to be empty."""
-    empty = segments * math.exp(-4 / BAND)
-    return 2 + math.ceil(empty + 2 * math.sqrt(empty))
-
-
 def may_differ(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Largest symmetric difference of similar sets of these sizes."""
     # |A xor B| <= (1 - t) / (1 + t) * (|A| + |B|)
@@ -149,48 +147,69 @@ def may_differ(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarr
 
 
 def plan_segments(n: np.ndarray, percent: int = PERCENT) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For the own band and for the one below: band, segments, emitted ones and spare ones of each set.
+    """For the own band and for the one below: band, its segments, those of each set, and how many it emits.
 
-    In the band below a set takes part as the larger of a pair only; it emits
+    A set of size n has the first ``segments_of(n)`` segments of its band. In
+    the band below it takes part as the larger of a pair only; it emits
     nothing there if it is too large for that.
     """
     edges = np.array(limits(int(n.max(initial=1))), dtype=np.int64)
     band = np.searchsorted(edges, n, side="right") - 1
+
+    def segments_of(size, most):
+        size = np.minimum(size, most)
+        return 2 * may_differ(size, size * 100 // percent, percent) + SPARE
+
     out = []
     for shift in (0, 1):
         j = band - shift
         inside = (j >= 0) & (n > 0)
         j = np.maximum(j, 0)
-        most = edges[j + 1] - 1  # the largest set of the band
-        widest = may_differ(most, most * 100 // percent, percent)
-        extra = np.array([spare(int(w)) for w in widest], dtype=np.int64)
-        if shift == 0:
-            differ = may_differ(n, n * 100 // percent, percent)
-        else:
-            differ = may_differ(n, np.minimum(n, most), percent)
-            inside &= n * percent <= most * 100
-        out.append((j, widest + extra, np.where(inside, differ + extra, 0), extra))
+        least, most = edges[j], edges[j + 1] - 1
+        mine = segments_of(n, most)
+        # The fewest segments that agree with a similar set, as the smaller of the two ...
+        agree = mine - may_differ(n, n * 100 // percent, percent) if shift == 0 else mine
+        # ... and as the larger; the smallest partner is the worst but for rounding.
+        smallest = np.maximum(-(-n * percent // 100), least)
+        for more in range(2 * 9):
+            partner = smallest + more
+            possible = (partner <= n) & (partner <= most)
+            agreed = segments_of(partner, most) - may_differ(partner, n, percent)
+            agree = np.where(possible, np.minimum(agree, agreed), agree)
+        inside &= smallest <= np.minimum(n, most)
+        out.append((j, segments_of(most, most), np.where(inside, mine, 0), np.where(inside, mine - agree + 1, 0)))
     return out
 
 
-def segment_keys(hashes: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the segments that each set emits, and their number by set."""
+def segment_keys(
+    hashes: np.ndarray, counts: np.ndarray, common: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the segments that each set emits, and their number by set.
+
+    ``common`` are the sorted hashes of common shingles.
+    """
     owner = np.repeat(np.arange(len(counts)), counts)
     spot, zobrist = hashes >> np.uint64(32), mixed(hashes ^ np.uint64(0x5851F42D4C957F2D))
+    rare = np.ones(len(hashes), dtype=bool)
+    if len(common):
+        rare = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] != hashes
     keys, owners = [], []
-    for band, segments, emitted, extra in plan_segments(counts, percent):
-        starts = np.concatenate(([0], np.cumsum(segments)))
-        where = starts[owner] + ((spot * segments[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        filled = np.bincount(where, minlength=starts[-1]) > 0
+    for band, segments, own, emitted in plan_segments(counts, percent):
+        where = ((spot * segments[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        inside = where < own[owner]
+        starts = np.concatenate(([0], np.cumsum(own)))
+        where = (starts[owner] + where)[inside]
+        has_rare = np.bincount(where[rare[inside]], minlength=starts[-1]) > 0
         content = np.zeros(starts[-1], dtype=np.uint64)
-        np.bitwise_xor.at(content, where, zobrist)
-        of = np.repeat(np.arange(len(counts)), segments)
+        np.bitwise_xor.at(content, where, zobrist[inside])
+        of = np.repeat(np.arange(len(counts)), own)
         number = np.arange(starts[-1]) - starts[of]
-        shown = number < emitted[of]
-        empty = np.bincount(of[shown & ~filled], minlength=len(counts))
-        shown &= filled | (empty > extra - 2)[of]
         label = (band[of].astype(np.uint64) << np.uint64(40)) | number.astype(np.uint64)
-        keys.append(mixed(content + mixed(label + np.uint64(1)))[shown])
+        key = mixed(content + mixed(label + np.uint64(1)))
+        # The same order in every set: with a rare shingle first, then by key.
+        order = np.lexsort(((key >> np.uint64(1)) | np.where(has_rare, 0, 1 << 63).astype(np.uint64), of))
+        shown = order[(np.arange(len(of)) - starts[of]) < emitted[of]]
+        keys.append(key[shown])
         owners.append(of[shown])
     order = np.argsort(np.concatenate(owners), kind="stable")
     return np.concatenate(keys)[order], np.bincount(np.concatenate(owners), minlength=len(counts))
@@ -216,9 +235,34 @@ def _digests(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.frombuffer(raw, dtype=np.int64).reshape(-1, 2)
 
 
+def common_shingles(docs: DataFrame, size: int = SHINGLE_WORDS) -> np.ndarray:
+    """Sorted hashes of shingles that occur in several of at most about ``SAMPLE_DOCS`` documents."""
+    share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < int(share * 2**30)).select("text")
+
+    def shingles(batches):
+        known = WordHashes()
+        for batch in batches:
+            for step in in_steps(batch):
+                raws = [x or b"" for x in step.column("text").cast(pa.binary()).to_pylist()]
+                hashes, _ = shingle_sets(raws, known, size)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], names=["shingle"])
+
+    often = (
+        sample.mapInArrow(shingles, "shingle long")
+        .groupBy("shingle")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .where(F.col("times") >= COMMON_TIMES)
+        .orderBy(F.desc("times"), "shingle")
+        .limit(COMMON_SHINGLES)
+    )
+    return np.sort(often.select("shingle").toArrow().column("shingle").to_numpy().view(np.uint64))
+
+
 def sketched(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
     """One row for each document; of copies met by one task the first alone carries keys and sketch."""
     schema = to_arrow_schema(StructType.fromDDL(SETS))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, size))
 
     def sketch(batches):
         known, carried = WordHashes(), set()
@@ -233,7 +277,7 @@ def sketched(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS)
                         carried.add(digest)
                         fresh[i] = True
                 held = hashes[np.repeat(fresh, counts)]
-                key_values, key_counts = segment_keys(held, np.where(fresh, counts, 0), percent)
+                key_values, key_counts = segment_keys(held, np.where(fresh, counts, 0), common.value, percent)
                 dense = dense_sketches(held, np.where(fresh, counts, 0))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -339,12 +383,12 @@ def bucketed(keyed: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "hot boolean, x long, y long")
 
 
-def may_link(percent: int) -> Column:
-    """Sizes and dense sketches of nodes ``a`` and ``b`` allow a link."""
-    differ = F.expr("aggregate(zip_with(a.dense, b.dense, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
-    bound = F.floor((F.col("a.n") + F.col("b.n")) * (100 - percent) / F.lit(100 + percent))
-    sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
-    return sizes & (differ <= bound)
+def may_link(a: str, b: str, percent: int) -> Column:
+    """Sizes and dense sketches of the structs ``a`` and ``b`` allow a link."""
+    differ = F.expr(f"aggregate(zip_with({a}.dense, {b}.dense, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return sizes & (differ <= F.floor((n + m) * (100 - percent) / F.lit(100 + percent)))
 
 
 # ---- links and components ---------------------------------------------------
@@ -394,7 +438,7 @@ class Join:
         left = roots.select(F.col("root").alias("ra"), fields.alias("a"))
         right = roots.select(F.col("root").alias("rb"), fields.alias("b"))
         near = stored(
-            ordered.toDF("ra", "rb").join(left, "ra").join(right, "rb").where(may_link(self.percent)).select("ra", "rb"),
+            ordered.toDF("ra", "rb").join(left, "ra").join(right, "rb").where(may_link("a", "b", self.percent)).select("ra", "rb"),
             "join-near",
         )
         asked = near.select(F.explode(F.array("ra", "rb")).alias("root")).distinct()
@@ -444,21 +488,21 @@ class Join:
         by_key = by_label.groupBy("key").agg(
             F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main")
         )
-        mixed_keys = by_key.where(F.col("all") > F.col("main.n")).select(
-            "key", F.col("main.label").alias("main"), (F.col("all") - F.col("main.n")).alias("strays")
+        mixed_keys = by_key.where(F.col("all") > F.col("main.n")).select("key", F.col("main.label").alias("main"))
+        rows = named.join(mixed_keys, "key").join(
+            self.nodes.where("row = root").select("root", F.struct("n", "dense").alias("s")), "root"
         )
-        rows = stored(named.join(mixed_keys, "key"), "join-open")
-        few = rows.where(F.col("strays") <= FEW_STRAYS)
-        many = rows.where(F.col("strays") > FEW_STRAYS).select("root", "label", "key")
-        # A root has a bounded number of keys, so these are pairs within one document.
-        twice = many.join(many.select("root", F.col("key").alias("key2")), "root").where("key < key2")
-        main = twice.groupBy("key", "key2", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key", "key2").agg(
-            F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels")
+        rows = stored(rows.select("key", "root", "label", "main", "s"), "join-open")
+        strays = rows.where("label <> main").select(
+            "key", F.col("root").alias("a"), F.col("label").alias("la"), F.col("s").alias("sa")
         )
-        twice = twice.join(main.where("labels > 1"), ["key", "key2"]).select(
-            "key", "key2", "root", "label", F.col("main.label").alias("main")
+        others = rows.select(
+            F.col("key").alias("same"), F.col("root").alias("b"), F.col("label").alias("lb"), F.col("s").alias("sb"), "main"
         )
-        return _strays_with_all(few, ["key"]).unionByName(_strays_with_all(twice, ["key", "key2"])).distinct()
+        # Two strays meet once, a stray and a member of the main component once.
+        once = (F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))
+        met = (F.col("key") == F.col("same")) & (F.col("la") != F.col("lb")) & once & may_link("sa", "sb", self.percent)
+        return strays.join(others, met).select("a", "b").distinct()
 
     def components(self) -> DataFrame:
         """``root`` and ``component``, a number of a root, for every class that links."""
@@ -486,13 +530,6 @@ class Join:
         return filled.select(*bare.columns).unionByName(bare)
 
 
-def _strays_with_all(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of different labels in a bucket, at least one of them outside the main label."""
-    strays = rows.where("label <> main").select(*keys, F.col("root").alias("a"), F.col("label").alias("la"))
-    everyone = rows.select(*keys, F.col("root").alias("b"), F.col("label").alias("lb"))
-    return strays.join(everyone, keys).where("la <> lb").select("a", "b")
-
-
 def one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
     """The rows of ``docs`` that stay when one row of each component does, all columns kept.
 
