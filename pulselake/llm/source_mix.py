@@ -36,8 +36,10 @@ WEIGHTS = (5.0, 2.0, 1.0)
 LIMIT = 3
 BLOCK_WORDS = 256
 SHARDS = 64
+# Slots that one row of the plan stands for until they are dealt.
+PIECE = 65_536
 # Rows of a source whose running sums one task makes.
-CHUNK_ROWS = 100_000
+CHUNK_ROWS = 4096
 SEED = "mix-1"
 
 
@@ -146,7 +148,6 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
     drawn for each source from a generator of its own; the rows are then made
     in parallel, at most a chunk of slots from each row.
     """
-    piece = 65_536
     planned = targets.where("source_size > 0").select(
         "source",
         F.ceil(F.col("source_size") / block_words).alias("blocks"),
@@ -155,9 +156,11 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
         ).cast("long").alias("n_slots"),
     )
     pieces = planned.where("n_slots > 0").withColumn(
-        "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1, F.lit(piece).cast("long")))
+        "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_slots") - 1, F.lit(PIECE).cast("long")))
     )
-    pieces = pieces.repartition(F.col("source"), F.col("first"))
+    # By number, as these few short rows become many in each task.
+    tasks = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces.repartition(tasks, F.col("source"), F.col("first"))
 
     def deal(batch):
         out = {"source": [], "shard": [], "slot": [], "block": []}
@@ -166,7 +169,7 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
             name = f"{seed}:{'-' if source is None else '+' + source}"
             rng = np.random.default_rng(xxhash.xxh64_intdigest(name))
             bounds = np.cumsum(rng.multinomial(n_slots, np.full(shards, 1.0 / shards)))
-            slot = np.arange(first, min(first + piece, n_slots), dtype=np.int64)
+            slot = np.arange(first, min(first + PIECE, n_slots), dtype=np.int64)
             passes, place = slot // blocks, slot % blocks
             block = np.empty_like(slot)
             for p in np.unique(passes):
