@@ -17,7 +17,10 @@ from pulselake.llm import (
     secret_ledger,
     source_mix,
     suffix_lm,
+    token_alignment,
     token_counts,
+    toxicity,
+    whitening,
 )
 from pulselake.llm.common import table
 
@@ -81,6 +84,18 @@ def op10_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_source_mix,
         op10_suffix_tree_scores,
+        op11_token_alignment,
+        op12_embedding_whitening,
+        op13_toxicity,
     )
 }
 
