@@ -121,16 +121,32 @@ def apply_scd2(
     of one narrow row for each key and chunk. The key is joined as a struct,
     which makes NULL keys equal and keeps the partitioning of the window.
     """
-    tracked = [c for c in feed.columns if c not in except_cols]
-    tie = F.col(tie_break) if tie_break else F.lit(None).cast("string")
-    changes = feed.select(
-        *tracked,
+    return versions_of(chained_changes(scd2_changes(feed, keys, sequence_by, delete_when, except_cols, tie_break, chunk)))
+
+
+def scd2_changes(
+    feed: DataFrame,
+    keys: list[str],
+    sequence_by: str = "ingested_at",
+    delete_when: str = IS_DELETE,
+    except_cols: tuple[str, ...] = ("operation", "record_id", "metadata"),
+    tie_break: str | None = "record_id",
+    chunk: str = "day",
+) -> DataFrame:
+    """The tracked columns of a feed with the order, key and chunk of each change."""
+    tie = F.col(tie_break).cast("string") if tie_break else F.lit(None).cast("string")
+    return feed.select(
+        *[c for c in feed.columns if c not in except_cols],
         F.col(sequence_by).alias("_seq"),
         F.expr(delete_when).alias("_deleted"),
         tie.alias("_tie"),
         F.struct(*keys).alias("_key"),
         F.date_trunc(chunk, F.col(sequence_by)).alias("_chunk"),
     )
+
+
+def chained_changes(changes: DataFrame) -> DataFrame:
+    """The changes that count, each with ``_next``, sequence and delete flag of the change after it."""
     order = Window.partitionBy("_key", "_chunk").orderBy(
         F.col("_seq").asc(), F.col("_deleted").desc(), F.col("_tie").desc_nulls_last()
     )
@@ -145,13 +161,18 @@ def apply_scd2(
     chunks = firsts.select(
         "_key", "_chunk", F.lead("_first").over(Window.partitionBy("_key").orderBy("_chunk")).alias("_later")
     )
-    versions = winners(changes).withColumn("_next", F.lead(following).over(order)).join(chunks, ["_key", "_chunk"])
-    following_change = F.coalesce("_next", "_later")
-    return versions.where(~F.col("_deleted")).select(
-        *tracked,
+    placed = winners(changes).withColumn("_next", F.lead(following).over(order)).join(chunks, ["_key", "_chunk"])
+    return placed.select(*changes.columns, F.coalesce("_next", "_later").alias("_next"))
+
+
+def versions_of(chained: DataFrame) -> DataFrame:
+    """The versions that chained changes open, with ``__START_AT``, ``__END_AT`` and ``__IS_DELETED``."""
+    helpers = ("_seq", "_deleted", "_tie", "_key", "_chunk", "_next")
+    return chained.where(~F.col("_deleted")).select(
+        *[c for c in chained.columns if c not in helpers],
         F.col("_seq").alias("__START_AT"),
-        following_change["seq"].alias("__END_AT"),
-        F.coalesce(following_change["deleted"], F.lit(False)).alias("__IS_DELETED"),
+        F.col("_next.seq").alias("__END_AT"),
+        F.coalesce("_next.deleted", F.lit(False)).alias("__IS_DELETED"),
     )
 
 
