@@ -48,6 +48,23 @@ def source_matrix(bronze: DataFrame) -> DataFrame:
     )
 
 
+def ingest_cube(bronze: DataFrame) -> DataFrame:
+    """Rows and first and last arrival for every grouping of platform, record type and day, in one pass.
+
+    ``grouping_id`` tells subtotals from groups whose value is NULL: bit 4 for a
+    total over platforms, 2 over record types, 1 over days.
+    """
+    rows = platform_of(bronze).select(
+        F.col("source_platform").alias("platform"), "record_type", F.to_date("ingested_at").alias("day"), "ingested_at"
+    )
+    return rows.cube("platform", "record_type", "day").agg(
+        F.grouping_id().alias("grouping_id"),
+        _rows("cnt"),
+        F.min("ingested_at").alias("earliest"),
+        F.max("ingested_at").alias("latest"),
+    )
+
+
 def metric_catalog(metrics: DataFrame, since: str | None = None) -> DataFrame:
     """Rows per metric name, type, unit and description."""
     return _signal_counts(

@@ -899,3 +899,86 @@ for _stream, _batch in {
     "stream_sessions": "sessionize",
 }.items():
     ORACLE[_stream] = ORACLE[_batch]
+
+# ---- joins over time --------------------------------------------------------
+
+ORACLE["point_in_time_workouts"] = (
+    _workout_history
+    + """SELECT b.event_id, 'U' || b.ukey AS uuid, b.ts, h.activity_type AS v_activity_type,
+  h."__START_AT" AS "v___START_AT", h."__END_AT" AS "v___END_AT"
+FROM base b LEFT JOIN history h ON h.uuid = 'U' || b.ukey AND h."__START_AT" <= b.ts
+  AND (h."__END_AT" IS NULL OR h."__END_AT" > b.ts)"""
+)
+ORACLE["samples_in_workouts"] = (
+    with_("samples", "workouts", "deletes")
+    + ", "
+    + ", ".join(f"feed_{t} AS ({feed(t)}), now_{t} AS ({current(t).replace('FROM feed', f'FROM feed_{t}')})" for t in ("samples", "workouts"))
+    + """ SELECT s.user_id, s.uuid, s.sample_type, s.value, s.start_ts, w.uuid AS w_workout_uuid,
+  w.activity_type AS w_activity_type, w.end_ts AS w_end_ts
+FROM now_samples s JOIN now_workouts w ON s.user_id = w.user_id AND s.start_ts >= w.start_ts AND s.start_ts < w.end_ts"""
+)
+
+# ---- grouping sets, sketches, bags, layout ----------------------------------
+
+ORACLE["ingest_cube"] = (
+    BASE
+    + """SELECT plat AS platform, record_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
+  CAST(grouping(plat, record_type, CAST(CAST(ts AS DATE) AS VARCHAR)) AS BIGINT) AS grouping_id,
+  count(*) AS cnt, min(ts) AS earliest, max(ts) AS latest
+FROM base GROUP BY CUBE (plat, record_type, CAST(CAST(ts AS DATE) AS VARCHAR))"""
+)
+ORACLE["daily_sketches"] = (
+    BASE
+    + """SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week, count(*) AS n_rows,
+  count(DISTINCT user_id) AS users, true AS merged_is_whole, true AS users_close, true AS median_close
+FROM base GROUP BY ALL"""
+)
+ORACLE["reconcile_repulled"] = (
+    BASE
+    + """SELECT side, record_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_rows FROM (
+  SELECT *, CASE WHEN event_id % 5 = 0 THEN 'stored' ELSE 'both' END AS side FROM base
+  UNION ALL SELECT *, 'pulled' FROM base WHERE event_id % 5 <> 0 AND event_id % 7 = 0) GROUP BY ALL"""
+)
+ORACLE["clustered_tables"] = (
+    with_("samples", "workouts", "deletes")
+    + ", "
+    + ", ".join(f"feed_{t} AS ({feed(t)}), now_{t} AS ({current(t).replace('FROM feed', f'FROM feed_{t}')})" for t in ("samples", "workouts"))
+    + ", counts AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{column}' AS \"column\", CAST({column} AS VARCHAR) AS value, count(*) AS n_rows FROM {table} GROUP BY 3"
+        for name, table, columns in (
+            ("silver_workouts", "now_workouts", ("user_id", "activity_type", "workout_date")),
+            ("silver_health_samples", "now_samples", ("user_id", "sample_type", "sample_date")),
+        )
+        for column in columns
+    )
+    + """) SELECT table_name, "column", value, n_rows, true AS many_files, true AS skips_files FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name, "column" ORDER BY n_rows DESC, value) AS rn FROM counts) WHERE rn = 1"""
+)
+
+# ---- keyed state and event time on streams ----------------------------------
+
+ORACLE["stream_scd1_state"] = ORACLE["silver_health_samples"]
+ORACLE["stream_scd2_buckets"] = ORACLE["silver_workouts_history"]
+ORACLE["stream_ingest_once"] = ORACLE["bronze_typed_workouts"]
+# Rows by arrival: what is held back comes after a watermark one hour behind the second slice.
+CTES["arrived"] = """
+SELECT *, event_id % 20 = 0 AND ts < (SELECT max(ts) FILTER (WHERE event_id % 20 <> 0 AND ts < TIMESTAMP '2024-01-21')
+  - INTERVAL 1 HOUR FROM base) AS late FROM base"""
+USES["arrived"] = ["base"]
+CTES["timed"] = CTES["sessions"].replace("FROM base", "FROM arrived WHERE NOT late")
+USES["timed"] = ["arrived"]
+ORACLE["stream_timed_sessions"] = with_("timed") + ORACLE["sessionize"][ORACLE["sessionize"].rindex("SELECT user_id, session_no"):].replace(
+    "FROM sessions", "FROM timed"
+)
+ORACLE["stream_late_rows"] = (
+    with_("arrived") + "SELECT user_id, ts AS start_ts, ts + to_minutes(k) AS end_ts, record_id AS uuid FROM arrived WHERE late"
+)
+ORACLE["stream_sliding_throughput"] = (
+    BASE
+    + """, mark AS (SELECT max(ts) FILTER (WHERE event_id % 20 <> 0 AND ts < TIMESTAMP '2024-01-21') - INTERVAL 1 HOUR AS at FROM base),
+slid AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(CAST(unnest([0, 5]) AS INTEGER)) AS window_start FROM base)
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type AS platform, count(*) AS n_rows,
+  round(sum(value), 4) AS total
+FROM slid, mark WHERE event_id % 20 <> 0 OR window_start + INTERVAL 10 MINUTE > date_trunc('millisecond', mark.at) GROUP BY ALL"""
+)

@@ -13,18 +13,21 @@ from pulselake.operators import (
     garmin,
     gold,
     ingest,
+    joins,
     ledger,
     platforms,
     quality,
+    reconcile,
     reports,
     runs,
     sessions,
+    sketches,
     typed,
     watch,
 )
 from pulselake.plans.pipeline import HealthGraph
 from pulselake.session import prepare, work_dir
-from pulselake.sources import fixtures, ndjson, tables
+from pulselake.sources import clustering, fixtures, ndjson, tables
 from pulselake.sources.contracts import load_table_config
 
 AS_OF = "2024-02-01 00:00:00"
@@ -685,3 +688,87 @@ def _(ev, spark, sf):
 @query("type_labels")
 def _(ev, spark, sf):
     return graph(ev).samples.select("record_id", scalars.type_label(F.col("sample_type")).alias("label"))
+
+
+# ---- joins over time --------------------------------------------------------
+
+
+@query("point_in_time_workouts")
+def _(ev, spark, sf):
+    """Every event with the version of its workout that was valid when it happened."""
+    events = ev.select("event_id", fixtures.uuid_of().alias("uuid"), "ts")
+    found = joins.point_in_time(events, graph(ev).silver_workouts_history, ["uuid"], "ts")
+    return found.select("event_id", "uuid", "ts", "v_activity_type", "v___START_AT", "v___END_AT")
+
+
+@query("samples_in_workouts")
+def _(ev, spark, sf):
+    """Samples that fall into a workout of the same user."""
+    g = graph(ev)
+    samples = g.silver_health_samples.select("user_id", "uuid", "sample_type", "value", "start_ts")
+    workouts = g.silver_workouts.select("user_id", F.col("uuid").alias("workout_uuid"), "activity_type", "start_ts", "end_ts")
+    return joins.within_intervals(samples, workouts, ["user_id"], "start_ts", prefix="w_").drop("w_start_ts")
+
+
+# ---- grouping sets, sketches, bags, layout ----------------------------------
+
+
+@query("ingest_cube")
+def _(ev, spark, sf):
+    return reports.ingest_cube(fixtures.bronze(ev))
+
+
+@query("daily_sketches")
+def _(ev, spark, sf):
+    """Sketches stored by day and merged by week, held against a sketch of the whole week and exact figures."""
+    day = F.to_date("ts")
+    path = work_dir(spark, "daily_sketches")
+    sketches.daily_sketches(ev, day, F.col("user_id"), F.col("value")).write.parquet(path)
+    week = lambda d: F.date_trunc("week", d).cast("date")
+    merged = sketches.merged(spark.read.parquet(path), week(F.col("day")), "week")
+    exact = ev.groupBy(week(day).alias("week")).agg(
+        F.count_distinct("user_id").alias("users"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("user_id", sketches.HLL_BITS)).alias("whole"),
+        F.percentile("value", 0.5).alias("median"),
+    )
+    close = lambda a, b, bound: F.abs(a - b) <= bound
+    return merged.join(exact, "week").select(
+        "week",
+        "n_rows",
+        "users",
+        close(F.col("distinct_ids"), F.col("whole"), 0).alias("merged_is_whole"),
+        close(F.col("distinct_ids"), F.col("users"), 3 * sketches.HLL_ERROR * F.col("users") + 1).alias("users_close"),
+        F.col("median")
+        .between(sketches.quantile("quantiles", 0.5 - 2 * sketches.KLL_ERROR), sketches.quantile("quantiles", 0.5 + 2 * sketches.KLL_ERROR))
+        .alias("median_close"),
+    )
+
+
+@query("reconcile_repulled")
+def _(ev, spark, sf):
+    """Bronze against a second pull that lacks some rows and has others twice."""
+    stored = fixtures.bronze(ev)
+    number = F.col("record_id").cast("long")
+    pulled = stored.where(number % 5 != 0)
+    pulled = pulled.unionByName(pulled.where(number % 7 == 0))
+    found = reconcile.reconcile(stored, pulled, ["record_type", "user_id", "ingested_at", "body"])
+    return found.groupBy("side", "record_type", F.to_date("ingested_at").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+CLUSTERED = {"silver_workouts": "user_id activity_type workout_date", "silver_health_samples": "user_id sample_type sample_date"}
+
+
+@query("clustered_tables")
+def _(ev, spark, sf):
+    """Tables stored by their contracts: rows of the commonest value of each column, and whether a filter on it skips files."""
+    folder, found = work_dir(spark, "clustered"), []
+    for name, columns in CLUSTERED.items():
+        path = f"{folder}/{name}"
+        stored = clustering.store_by_contract(getattr(graph(ev), name), load_table_config(name), path, files=64)
+        for column in columns.split():
+            counts = stored.groupBy(F.col(column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+            top = counts.orderBy(F.desc("n_rows"), "value").first()
+            hit, files = clustering.files_for(spark, path, column, top.value)
+            found.append((name, column, top.value, top.n_rows, files > 32, hit <= 0.7 * files))
+    schema = "table_name string, column string, value string, n_rows long, many_files boolean, skips_files boolean"
+    return spark.createDataFrame(found, schema)

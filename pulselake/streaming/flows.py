@@ -64,6 +64,34 @@ def rule_totals(spark, counts: str) -> DataFrame:
     )
 
 
+def once(df: DataFrame, ident: str = "record_id", at: str = "ingested_at", delay: str = "1 day") -> DataFrame:
+    """Rows whose id has not come before: a file that is sent again changes nothing.
+
+    Ids are remembered until the watermark, ``delay`` behind the latest arrival,
+    has passed them, so the state is bounded by the rows of that time. A row
+    behind the watermark is dropped, so the delay has to cover the latest repeat.
+    """
+    return df.withWatermark(at, delay).dropDuplicatesWithinWatermark([ident])
+
+
+def sliding_throughput(
+    df: DataFrame, at: str = "ts", length: str = "5 minutes", step: str = "1 minute", delay: str | None = None
+) -> DataFrame:
+    """Rows and sum of ``value`` by platform and sliding window, batch or stream.
+
+    On a stream with a ``delay`` a window is final once the watermark has passed
+    its end: output mode ``append`` gives it once, ``update`` each time it changes.
+    A row counts in those of its windows that are still open.
+    """
+    rows = df.withWatermark(at, delay) if delay else df
+    counted = rows.groupBy(F.window(F.col(at), length, step).alias("w"), "platform").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("total")
+    )
+    return counted.select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "platform", "n_rows", "total"
+    )
+
+
 def observed_counts(query: StreamingQuery, name: str) -> dict[str, int]:
     """Counts of :func:`pulselake.operators.quality.expect` summed over the reported micro-batches."""
     totals: dict[str, int] = {}
