@@ -22,8 +22,16 @@ speed only; no pair depends on it.
 Content shared by many sets is not paired in full. Such a bucket first yields
 the pairs with its smallest member, which joins most copies into components.
 Afterwards only buckets whose members still lie in several components are
-looked at again: members outside the main component meet the others, and the
-join itself lets through only pairs whose dense sketches are near enough.
+looked at again. Their members are joined once more, by the shingles of which
+similar sets must share one: the rare ones first, so that a passage that many
+texts hold brings together only texts that are little else. Of what is still
+crowded then, members outside the main component of a bucket meet one member
+of it a round, and only those that no round joins meet all others; the join
+itself lets through only pairs whose dense sketches are near enough.
+
+Components need no more links than join them: each set is first checked with
+one of its partners, and of all other pairs those that still lie in different
+components.
 
 Results:
 
@@ -49,7 +57,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from pulselake.llm.common import ARROW_ROWS, fresh, stored
+from pulselake.llm.common import fresh, stored
 from pulselake.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -65,6 +73,8 @@ SAMPLE_DOCS = 10_000
 COMMON_TIMES = 3
 COMMON_SHINGLES = 500_000
 DENSE_BITS = 1024
+# Rounds in which members of a crowded bucket meet one member of its main component.
+ROUNDS = 3
 # Text of one vectorised step, and words remembered by one task.
 STEP_BYTES = 4_000_000
 KNOWN_WORDS = 200_000
@@ -259,10 +269,10 @@ def common_shingles(docs: DataFrame, size: int = SHINGLE_WORDS) -> np.ndarray:
     return np.sort(often.select("shingle").toArrow().column("shingle").to_numpy().view(np.uint64))
 
 
-def sketched(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
+def sketched(docs: DataFrame, frequent: np.ndarray, percent: int = PERCENT, size: int = SHINGLE_WORDS) -> DataFrame:
     """One row for each document; of copies met by one task the first alone carries keys and sketch."""
     schema = to_arrow_schema(StructType.fromDDL(SETS))
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, size))
+    common = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def sketch(batches):
         known, carried = WordHashes(), set()
@@ -383,6 +393,30 @@ def bucketed(keyed: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "hot boolean, x long, y long")
 
 
+def first_members(
+    hashes: np.ndarray, counts: np.ndarray, common: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set the members of which similar sets share one, in the order rare, common, then by hash."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    is_common = np.zeros(len(hashes), dtype=bool)
+    if len(common):
+        is_common = common[np.minimum(np.searchsorted(common, hashes), len(common) - 1)] == hashes
+    order = np.lexsort((hashes, is_common, owner))
+    starts = np.concatenate(([0], np.cumsum(counts)))[:-1]
+    # Similar sets share at least this part of either; one member more than the rest meets it.
+    kept = np.where(counts > 0, counts - -(-counts * percent // 100) + 1, 0)
+    shown = order[(np.arange(len(hashes)) - starts[owner]) < kept[owner]]
+    return hashes[shown], kept
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (``ra``, ``rb``) whose ends lie in different components."""
+    ends = labels.select(F.col("node").alias("ra"), F.col("label").alias("la"))
+    others = labels.select(F.col("node").alias("rb"), F.col("label").alias("lb"))
+    named = pairs.join(ends, "ra", "left").join(others, "rb", "left")
+    return named.where(F.coalesce("la", "ra") != F.coalesce("lb", "rb")).select("ra", "rb")
+
+
 def may_link(a: str, b: str, percent: int) -> Column:
     """Sizes and dense sketches of the structs ``a`` and ``b`` allow a link."""
     differ = F.expr(f"aggregate(zip_with({a}.dense, {b}.dense, (x, y) -> bit_count(x ^ y)), 0, (s, v) -> s + v)")
@@ -400,7 +434,8 @@ class Join:
     def __init__(self, docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE_WORDS):
         self.docs, self.percent, self.size = docs.select("doc_id", "text"), percent, size
         spark = docs.sparkSession
-        self.sets = stored(sketched(self.docs, percent, size), "join-sets")
+        self.common = common_shingles(self.docs, size)
+        self.sets = stored(sketched(self.docs, self.common, percent, size), "join-sets")
         filled = self.sets.where("n > 0")
         carries = F.size("dense") > 0
         # Copies in one class; its root is the first row that carries the sketch.
@@ -414,14 +449,17 @@ class Join:
             filled.where(carries).join(self.classes, ["c1", "c2"]).select("row", "root", "n", "dense", "doc_id", "c1", "c2"),
             "join-nodes",
         )
-        # Rows of numbers only: longer batches.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100000")
+        self.found = self.bucketed(filled.select(F.explode("keys").alias("key"), "row"))
+
+    def bucketed(self, keyed: DataFrame) -> DataFrame:
+        """:func:`bucketed`, stored: its rows are numbers only, so batches are longer."""
+        conf, name = keyed.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(name)
+        conf.set(name, "100000")
         try:
-            self.found = stored(
-                bucketed(filled.select(F.explode("keys").alias("key"), "row")), "join-buckets"
-            )
+            return stored(bucketed(keyed), "join-buckets")
         finally:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+            conf.set(name, before)
 
     def roots_of(self, rows: DataFrame, *names: str) -> DataFrame:
         """``rows`` with each named row number replaced by the root of its class."""
@@ -430,17 +468,41 @@ class Join:
             rows = rows.join(roots, name).drop(name).withColumnRenamed("root_", name)
         return rows
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Of pairs of roots (``a``, ``b``) those that link, checked by the sets."""
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs of roots (``a``, ``b``) those that may link by sizes and sketches, as ``ra`` < ``rb``."""
         ordered = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         fields = F.struct("n", "dense")
         roots = self.nodes.where("row = root")
         left = roots.select(F.col("root").alias("ra"), fields.alias("a"))
         right = roots.select(F.col("root").alias("rb"), fields.alias("b"))
-        near = stored(
-            ordered.toDF("ra", "rb").join(left, "ra").join(right, "rb").where(may_link("a", "b", self.percent)).select("ra", "rb"),
-            "join-near",
+        both = ordered.toDF("ra", "rb").join(left, "ra").join(right, "rb")
+        return stored(both.where(may_link("a", "b", self.percent)).select("ra", "rb"), "join-near")
+
+    def joining(self, pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        """Links (``a``, ``b``) among pairs of roots, enough to join all that the pairs join.
+
+        ``known`` are the links found before. Each root is checked with its smallest
+        partner first, then all pairs that lie in different components.
+        """
+        near = self.near(pairs)
+        partner = near.unionByName(near.select(F.col("rb").alias("ra"), F.col("ra").alias("rb"))).groupBy("ra").agg(
+            F.min("rb").alias("rb")
         )
+        stars = stored(
+            partner.select(F.least("ra", "rb").alias("ra"), F.greatest("ra", "rb").alias("rb")).distinct(), "join-stars"
+        )
+        links = self.links(stars)
+        if known is not None:
+            links = links.unionByName(known)
+        labels = stored(connected_components(links), "join-labels")
+        rest = stored(apart(near.join(stars, ["ra", "rb"], "left_anti"), labels), "join-rest")
+        if rest.isEmpty():
+            return links
+        return links.unionByName(self.links(rest))
+
+    def links(self, near: DataFrame) -> DataFrame:
+        """Of pairs of roots (``ra``, ``rb``) those that link by their sets, as ``a`` and ``b``."""
+        roots = self.nodes.where("row = root")
         asked = near.select(F.explode(F.array("ra", "rb")).alias("root")).distinct()
         wanted = stored(
             roots.join(asked, "root", "left_semi").select("root", "doc_id", "c1", "c2"), "join-wanted"
@@ -455,13 +517,18 @@ class Join:
         linked = both.where(F.col("i") * 100 >= (F.col("s") - F.col("i")) * self.percent)
         return stored(linked.select(F.col("ra").alias("a"), F.col("rb").alias("b")), "join-links")
 
-    def _sets(self, wanted: DataFrame) -> DataFrame:
-        """``root`` and ``members`` (shingle hashes) of the wanted classes, from the texts."""
+    def _sets(self, wanted: DataFrame, common: np.ndarray | None = None) -> DataFrame:
+        """``root`` and ``members`` (shingle hashes) of the wanted classes, from the texts.
+
+        With the hashes of ``common`` shingles only the first members of each set in the
+        order rare, common: so many that similar sets share one of them.
+        """
         ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
         if ids.count() <= BROADCAST_IDS:
             ids = F.broadcast(ids)
         texts = self.docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
-        size = self.size
+        size, percent = self.size, self.percent
+        shared = None if common is None else self.docs.sparkSession.sparkContext.broadcast(common)
 
         def members(batches):
             known = WordHashes()
@@ -470,6 +537,8 @@ class Join:
                     raws = [x or b"" for x in step.column("text").cast(pa.binary()).to_pylist()]
                     hashes, counts = shingle_sets(raws, known, size)
                     digests = _digests(hashes, counts)
+                    if shared is not None:
+                        hashes, counts = first_members(hashes, counts, shared.value, percent)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(digests[:, 0]), pa.array(digests[:, 1]), _lists(hashes, counts)],
                         names=["c1", "c2", "members"],
@@ -479,24 +548,26 @@ class Join:
         of_root = made.join(wanted.select("c1", "c2", "root"), ["c1", "c2"]).select("root", "members")
         return stored(of_root.dropDuplicates(["root"]), "join-members")
 
-    def open_pairs(self, labels: DataFrame) -> DataFrame:
-        """Pairs of roots that share hot buckets and lie in different components."""
-        hot = self.roots_of(self.found.where("hot").select(F.col("x").alias("key"), F.col("y").alias("root")), "root")
-        named = hot.distinct().join(labels.withColumnRenamed("node", "root"), "root", "left")
+    def open_members(self, hot: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members (``key``, ``root``, ``label``) of the buckets that hold several components, and the largest, ``main``."""
+        named = hot.join(labels.withColumnRenamed("node", "root"), "root", "left")
         named = named.select("key", "root", F.coalesce("label", "root").alias("label"))
         by_label = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
         by_key = by_label.groupBy("key").agg(
             F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main")
         )
         mixed_keys = by_key.where(F.col("all") > F.col("main.n")).select("key", F.col("main.label").alias("main"))
-        rows = named.join(mixed_keys, "key").join(
+        return stored(named.join(mixed_keys, "key"), "join-open")
+
+    def all_pairs(self, members: DataFrame) -> DataFrame:
+        """Pairs of members of a bucket that lie in different components and may link."""
+        described = members.join(
             self.nodes.where("row = root").select("root", F.struct("n", "dense").alias("s")), "root"
         )
-        rows = stored(rows.select("key", "root", "label", "main", "s"), "join-open")
-        strays = rows.where("label <> main").select(
+        strays = described.where("label <> main").select(
             "key", F.col("root").alias("a"), F.col("label").alias("la"), F.col("s").alias("sa")
         )
-        others = rows.select(
+        others = described.select(
             F.col("key").alias("same"), F.col("root").alias("b"), F.col("label").alias("lb"), F.col("s").alias("sb"), "main"
         )
         # Two strays meet once, a stray and a member of the main component once.
@@ -507,12 +578,36 @@ class Join:
     def components(self) -> DataFrame:
         """``root`` and ``component``, a number of a root, for every class that links."""
         pairs = self.roots_of(self.found.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b")), "a", "b")
-        first = self.links(pairs)
-        labels = stored(connected_components(first), "join-labels")
-        more = stored(self.open_pairs(labels), "join-open-pairs")
+        links = self.joining(pairs)
+        labels = stored(connected_components(links), "join-labels")
+        hot = self.roots_of(self.found.where("hot").select(F.col("x").alias("key"), F.col("y").alias("root")), "root").distinct()
+        crowd = self.open_members(hot, labels)
+        if crowd.isEmpty():
+            return labels
+        # Once more by the first members of the sets, for all that may still link.
+        wanted = crowd.select("root").distinct()
+        roots = self.nodes.where("row = root").select("root", "doc_id", "c1", "c2")
+        first = self._sets(stored(roots.join(wanted, "root", "left_semi"), "join-wanted"), self.common)
+        found = self.bucketed(first.select(F.explode("members").alias("key"), F.col("root").alias("row")))
+        pairs = apart(found.where("not hot").select(F.col("x").alias("ra"), F.col("y").alias("rb")), labels)
+        links = self.joining(pairs.toDF("a", "b"), links)
+        labels = stored(connected_components(links), "join-labels")
+        hot = found.where("hot").select(F.col("x").alias("key"), F.col("y").alias("root"))
+        for round_no in range(ROUNDS):
+            crowd = self.open_members(hot, labels)
+            if crowd.isEmpty():
+                return labels
+            mains = crowd.where("label = main").groupBy("key").agg(
+                F.min_by("root", F.xxhash64("root", F.lit(round_no))).alias("b")
+            )
+            met = crowd.where("label <> main").join(mains, "key").select(F.col("root").alias("a"), "b")
+            links = self.joining(met, links)
+            labels = stored(connected_components(links), "join-labels")
+        crowd = self.open_members(hot, labels)
+        more = stored(self.all_pairs(crowd), "join-open-pairs")
         if more.isEmpty():
             return labels
-        return connected_components(first.unionByName(self.links(more)))
+        return connected_components(self.joining(more, links))
 
     def result(self) -> DataFrame:
         labels = self.components().select(F.col("node").alias("root"), "label")
