@@ -68,13 +68,38 @@ def _data(path: str, dtype: str = "string") -> Column:
     return field("body", f"data.{path}" if path else "data", dtype)
 
 
+def _struct(keys: Iterable[str], **nested: str) -> str:
+    """Type of an object with text fields and fields of other types."""
+    fields = [f"{k}:string" for k in keys] + [f"{k}:{kind}" for k, kind in nested.items()]
+    return f"struct<{','.join(fields)}>"
+
+
+PAIRS = "array<array<double>>"
+ACTIVITY_TEXTS = ("activityName", "activityId", "startTimeLocal", "startTimeGMT")
+# The data of a bronze row is read once, in the type of its record type. Fields of the
+# wrong kind and missing ones are NULL.
+DATA_TYPES = {
+    "daily_stats": _struct([*codes.GARMIN_DAILY_METRICS, "moderateIntensityMinutes", "vigorousIntensityMinutes"]),
+    "heart_rates": _struct([], heartRateValues=PAIRS),
+    "sleep": _struct(
+        [], dailySleepDTO=_struct(codes.GARMIN_SLEEP_METRICS, sleepScores=_struct([], overall=_struct(["value"])))
+    ),
+    "stress": _struct([], stressValuesArray=PAIRS),
+    "hrv": _struct([], hrvSummary=_struct(["status", "weeklyAvg", "lastNight5MinHigh"])),
+    "spo2": _struct(["averageSpO2", "averageSpO2Value"]),
+    "body_battery": _struct(["bodyBatteryHighestValue", "bodyBatteryLowestValue"]),
+    "respiration": _struct(["avgWakingRespirationValue", "avgSleepRespirationValue"]),
+    "activities": "array<" + _struct([*ACTIVITY_TEXTS, *codes.GARMIN_ACTIVITY_METRICS], activityType=_struct(["typeKey"])) + ">",
+}
+
+
 def _no_meta() -> Column:
     return F.create_map().cast(META)
 
 
 def _metric(name: str, value: Column, unit: str, meta: Column | None = None) -> Column:
     """One reading at the start of its day; NULL in ``value`` means there is none."""
-    return _reading(name, value, unit, field("body", "date", "date").cast("timestamp"), meta)
+    return _reading(name, value, unit, F.col("_day"), meta)
 
 
 def _reading(name: str, value: Column, unit: str, at: Column, meta: Column | None = None) -> Column:
@@ -96,31 +121,28 @@ def _known(*metrics: Column) -> Column:
     return F.filter(F.array(*metrics), lambda m: m["value"].isNotNull())
 
 
-def _series(path: str, metric: str, unit: str, in_range: Callable[[Column], Column]) -> Column:
+def _series(pairs: Column, metric: str, unit: str, in_range: Callable[[Column], Column]) -> Column:
     """Intraday pairs ``[epoch millis, value]``; short pairs, nulls and values out of range are left out."""
 
     def reading(pair: Column) -> Column:
-        millis = F.try_variant_get(pair, "$[0]", "double").cast("long")
-        value = F.try_variant_get(pair, "$[1]", "double")
-        return _reading(metric, value, unit, F.timestamp_millis(millis))
+        return _reading(metric, F.get(pair, F.lit(1)), unit, F.timestamp_millis(F.get(pair, F.lit(0)).cast("long")))
 
-    pairs = F.transform(_data(path, "array<variant>"), reading)
-    return F.filter(pairs, lambda m: m["recorded_at"].isNotNull() & in_range(m["value"]))
+    return F.filter(F.transform(pairs, reading), lambda m: m["recorded_at"].isNotNull() & in_range(m["value"]))
 
 
 # ---- readings of one bronze row, per record type ----------------------------
 
 
-def _stats_readings() -> Column:
+def _stats_readings(data: Column) -> Column:
     return _known(
-        *[_metric(metric, _present(_data(key)), unit) for key, (metric, unit) in codes.GARMIN_DAILY_METRICS.items()]
+        *[_metric(metric, _present(data[key]), unit) for key, (metric, unit) in codes.GARMIN_DAILY_METRICS.items()]
     )
 
 
-def _intensity_readings() -> Column:
+def _intensity_readings(data: Column) -> Column:
     """Moderate plus vigorous minutes, if either is above 0."""
-    moderate = number_or(_data("moderateIntensityMinutes"))
-    vigorous = number_or(_data("vigorousIntensityMinutes"))
+    moderate = number_or(data["moderateIntensityMinutes"])
+    vigorous = number_or(data["vigorousIntensityMinutes"])
     meta = F.create_map(
         F.lit("moderate"), moderate.cast("long").cast("string"), F.lit("vigorous"), vigorous.cast("long").cast("string")
     )
@@ -128,86 +150,81 @@ def _intensity_readings() -> Column:
     return _known(_metric("intensity_minutes", total, "minutes", meta))
 
 
-def _heart_readings() -> Column:
-    return _series("heartRateValues", "heart_rate_intraday", "bpm", lambda v: v > 0)
+def _heart_readings(data: Column) -> Column:
+    return _series(data["heartRateValues"], "heart_rate_intraday", "bpm", lambda v: v > 0)
 
 
-def _sleep_readings() -> Column:
-    metrics = []
+def _sleep_readings(data: Column) -> Column:
+    sleep, metrics = data["dailySleepDTO"], []
     for key, (metric, divisor, unit) in codes.GARMIN_SLEEP_METRICS.items():
-        raw = _data(f"dailySleepDTO.{key}")
-        metrics.append(_metric(metric, _present(raw, number_or(raw) / F.lit(divisor)), unit))
-    score = _present(_data("dailySleepDTO.sleepScores.overall.value"))
+        metrics.append(_metric(metric, _present(sleep[key], number_or(sleep[key]) / F.lit(divisor)), unit))
+    score = _present(sleep["sleepScores"]["overall"]["value"])
     return _known(*metrics, _metric("sleep_score", score, "score"))
 
 
-def _stress_readings() -> Column:
-    return _series("stressValuesArray", "stress_level", "score", lambda v: v >= 0)
+def _stress_readings(data: Column) -> Column:
+    return _series(data["stressValuesArray"], "stress_level", "score", lambda v: v >= 0)
 
 
-def _hrv_readings() -> Column:
-    status = _data("hrvSummary.status")
+def _hrv_readings(data: Column) -> Column:
+    summary = data["hrvSummary"]
+    status = summary["status"]
     score = lookup(F.upper(status), codes.GARMIN_HRV_SCORES, F.lit(-1.0))
     return _known(
-        _metric("hrv_weekly_avg", _present(_data("hrvSummary.weeklyAvg")), "ms"),
-        _metric("hrv_last_night", _present(_data("hrvSummary.lastNight5MinHigh")), "ms"),
+        _metric("hrv_weekly_avg", _present(summary["weeklyAvg"]), "ms"),
+        _metric("hrv_last_night", _present(summary["lastNight5MinHigh"]), "ms"),
         _metric("hrv_status", F.when(status.isNotNull(), score), "score", F.create_map(F.lit("status_label"), status)),
     )
 
 
-def _first_nonzero(first: str, second: str) -> Column:
+def _first_nonzero(a: Column, second: Column) -> Column:
     """The first of two values, unless it is missing, 0 or empty; then the second as it is."""
-    a = _data(first)
     zero = (a == "") | (F.coalesce(a.try_cast("double"), F.lit(1.0)) == 0) | (a == "false")
-    return F.coalesce(F.when(~zero, a), _data(second))
+    return F.coalesce(F.when(~zero, a), second)
 
 
-def _spo2_readings() -> Column:
-    return _known(_metric("spo2", _present(_first_nonzero("averageSpO2", "averageSpO2Value")), "pct"))
+def _spo2_readings(data: Column) -> Column:
+    return _known(_metric("spo2", _present(_first_nonzero(data["averageSpO2"], data["averageSpO2Value"])), "pct"))
 
 
-def _respiration_readings() -> Column:
-    value = _first_nonzero("avgWakingRespirationValue", "avgSleepRespirationValue")
+def _respiration_readings(data: Column) -> Column:
+    value = _first_nonzero(data["avgWakingRespirationValue"], data["avgSleepRespirationValue"])
     return _known(_metric("respiration_rate", _present(value), "brpm"))
 
 
-def _battery_readings() -> Column:
+def _battery_readings(data: Column) -> Column:
     """Highest and lowest level, from a list of pairs or from two named values."""
-    second = F.transform(_data("", "array<variant>"), lambda pair: F.try_variant_get(pair, "$[1]", "double"))
-    levels = F.filter(second, lambda v: v > 0)
-    high = F.coalesce(F.array_max(levels), _present(_data("bodyBatteryHighestValue")))
-    low = F.coalesce(F.array_min(levels), _present(_data("bodyBatteryLowestValue")))
+    levels = F.filter(F.transform("_levels", lambda pair: F.get(pair, F.lit(1))), lambda v: v > 0)
+    high = F.coalesce(F.array_max(levels), _present(data["bodyBatteryHighestValue"]))
+    low = F.coalesce(F.array_min(levels), _present(data["bodyBatteryLowestValue"]))
     return _known(_metric("body_battery_high", high, "score"), _metric("body_battery_low", low, "score"))
 
 
-def _activity_readings() -> Column:
+def _activity_readings(data: Column) -> Column:
     """Five readings per activity. An unreadable time is NULL, not the time of the run."""
 
     def readings(one: Column) -> Column:
-        def text(path: str) -> Column:
-            return F.try_variant_get(one, f"$.{path}", "string")
-
         meta = F.create_map(
-            F.lit("activity_type"), F.coalesce(text("activityType.typeKey"), F.lit("unknown")),
-            F.lit("activity_name"), F.coalesce(text("activityName"), F.lit("")),
-            F.lit("activity_id"), F.coalesce(text("activityId"), F.lit("")),
+            F.lit("activity_type"), F.coalesce(one["activityType"]["typeKey"], F.lit("unknown")),
+            F.lit("activity_name"), F.coalesce(one["activityName"], F.lit("")),
+            F.lit("activity_id"), F.coalesce(one["activityId"], F.lit("")),
         )
-        local = F.nullif(text("startTimeLocal"), F.lit(""))
-        at = F.coalesce(local, text("startTimeGMT")).try_cast("timestamp")
-        # Entries that are no objects have none of the keys and so no readings.
+        local = F.nullif(one["startTimeLocal"], F.lit(""))
+        at = F.coalesce(local, one["startTimeGMT"]).try_cast("timestamp")
+        # Entries that are no objects are NULL and so have no readings.
         return F.array(
             *[
-                _reading(name, _present(text(key)), unit, at, meta)
+                _reading(name, _present(one[key]), unit, at, meta)
                 for key, (name, unit) in codes.GARMIN_ACTIVITY_METRICS.items()
             ]
         )
 
-    flat = F.flatten(F.transform(_data("", "array<variant>"), readings))
+    flat = F.flatten(F.transform(data, readings))
     return F.filter(flat, lambda m: m["value"].isNotNull())
 
 
 READINGS = {
-    "daily_stats": lambda: F.concat(_stats_readings(), _intensity_readings()),
+    "daily_stats": lambda data: F.concat(_stats_readings(data), _intensity_readings(data)),
     "heart_rates": _heart_readings,
     "sleep": _sleep_readings,
     "stress": _stress_readings,
@@ -219,11 +236,23 @@ READINGS = {
 }
 
 
-def _events(bronze: DataFrame, readings: Column) -> DataFrame:
-    """Metric events from an array of readings per bronze row."""
-    return bronze.select(
-        field("body", "device_id", "string").alias("device_id"), "ingested_at", F.explode(readings).alias("m")
-    ).select(
+def _events(bronze: DataFrame, readings: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Metric events from the arrays of readings of bronze rows, by record type."""
+    of_type = F.col("record_type")
+    typed = [F.when(of_type == t, field("body", "data", DATA_TYPES[t])).alias(f"_{t}") for t in readings]
+    if "body_battery" in readings:
+        typed.append(F.when(of_type == "body_battery", field("body", "data", PAIRS)).alias("_levels"))
+    read = bronze.where(of_type.isin(list(readings))).select(
+        field("body", "device_id", "string").alias("device_id"),
+        "ingested_at",
+        "record_type",
+        field("body", "date", "date").cast("timestamp").alias("_day"),
+        *typed,
+    )
+    events = F.lit(None)
+    for record_type, build in readings.items():
+        events = F.when(of_type == record_type, build(F.col(f"_{record_type}"))).otherwise(events)
+    return read.select("device_id", "ingested_at", F.explode(events).alias("m")).select(
         F.lit(SOURCE).alias("source"),
         "device_id",
         "m.metric_type",
@@ -236,16 +265,16 @@ def _events(bronze: DataFrame, readings: Column) -> DataFrame:
 
 
 def daily_stats(bronze: DataFrame) -> DataFrame:
-    return _events(route(bronze, "daily_stats"), _stats_readings())
+    return _events(bronze, {"daily_stats": _stats_readings})
 
 
 def intensity_minutes(bronze: DataFrame) -> DataFrame:
-    return _events(route(bronze, "daily_stats"), _intensity_readings())
+    return _events(bronze, {"daily_stats": _intensity_readings})
 
 
 def events_of(bronze: DataFrame, record_type: str) -> DataFrame:
     """Metric events of one record type."""
-    return _events(route(bronze, record_type), READINGS[record_type]())
+    return _events(bronze, {record_type: READINGS[record_type]})
 
 
 def normalize(bronze: DataFrame) -> DataFrame:
@@ -253,10 +282,7 @@ def normalize(bronze: DataFrame) -> DataFrame:
 
     Day step counts have no long form and stay in bronze.
     """
-    readings = F.lit(None)
-    for record_type, build in READINGS.items():
-        readings = F.when(F.col("record_type") == record_type, build()).otherwise(readings)
-    return _events(bronze.where(F.col("record_type").isin(list(READINGS))), readings)
+    return _events(bronze, READINGS)
 
 
 def rejected_times(events: DataFrame) -> DataFrame:
