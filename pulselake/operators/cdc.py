@@ -270,6 +270,29 @@ def fold_runs(events: DataFrame) -> DataFrame:
     )
 
 
+def fold_type_results(events: DataFrame, types: list[str]) -> DataFrame:
+    """One row per load run and record type: the configured types at its start, then the last result of each.
+
+    A ``create`` event opens all configured types with zeros and the status
+    ``pending``. Each other event replaces the numbers of its own type, also of
+    one that was not configured; the last one wins.
+    """
+    numbers = ["payload_count", "record_count", "duration_ms"]
+    is_start = F.col("event") == "create"
+    kinds = F.when(is_start, F.array(*[F.lit(t) for t in types])).otherwise(F.array("record_type"))
+    rows = events.withColumn("record_type", F.explode(kinds))
+    order = F.struct("event_ts", "event_id")
+    latest = F.max_by(F.struct("event_ts", *numbers), F.when(~is_start, order))
+    folded = rows.groupBy("run_id", "record_type").agg(F.min("event_ts").alias("opened_at"), latest.alias("_r"))
+    return folded.select(
+        "run_id",
+        "record_type",
+        "opened_at",
+        F.when(F.col("_r").isNull(), "pending").otherwise("done").alias("status"),
+        *[F.coalesce(F.col(f"_r.{c}"), F.lit(0)).alias(c) for c in numbers],
+    )
+
+
 def backfill_nulls(df: DataFrame, fixes: DataFrame, key: str, marker: str, columns: list[str]) -> DataFrame:
     """Fill ``columns`` from a small table of fixes where ``marker`` is NULL.
 

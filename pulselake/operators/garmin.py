@@ -365,6 +365,21 @@ def missing_days(bronze: DataFrame, start: str, end: str) -> DataFrame:
     return spine.join(seen, ["device_id", "day"], "left_anti")
 
 
+def backfill_gaps(extractions: DataFrame, start: str, end: str, categories: Iterable[str]) -> DataFrame:
+    """Device days of [start, end) to pull again, by ``state``.
+
+    ``missing`` days have no extraction at all; on ``failed`` days there are some,
+    but none of the categories came with any of them.
+    """
+    if start >= end:
+        raise ValueError("start must be before end")
+    came = F.max(F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(True)) for c in categories], F.lit(False)))
+    pulled = extractions.groupBy("device_id", F.col("date").cast("date").alias("day")).agg(came.alias("came"))
+    spine = pulled.select("device_id").distinct().select("device_id", _days(start, end).alias("day"))
+    state = F.when(F.col("came").isNull(), "missing").when(~F.col("came"), "failed").alias("state")
+    return spine.join(pulled, ["device_id", "day"], "left").select("device_id", "day", state).where("state is not null")
+
+
 def category_completeness(extractions: DataFrame) -> DataFrame:
     """``ok`` or ``missing`` per device, day and category."""
     names = list(codes.GARMIN_CATEGORIES)

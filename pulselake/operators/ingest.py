@@ -94,8 +94,3 @@ def null_user(df: DataFrame, mode: str = "fill") -> DataFrame:
 def route(df: DataFrame, record_type: str) -> DataFrame:
     """Rows of one record type."""
     return df.where(F.col("record_type") == record_type)
-
-
-def body_text(df: DataFrame, *paths: str) -> DataFrame:
-    """Chosen body paths as text columns, next to the record id."""
-    return df.select("record_id", *[field("body", p, "string").alias(p) for p in paths])

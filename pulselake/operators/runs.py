@@ -9,7 +9,7 @@ from pulselake.functions.scalars import round_half_up
 
 TYPE_COLUMNS = ["record_type", "payload_count", "record_count", "duration_ms", "records_per_sec"]
 SORT_FIELDS = {"started_at": None, "total_records": 0, "records_per_sec": 0, "duration_ms": 0, "preset_label": ""}
-DEFAULT_PAGE = 50
+DEFAULT_PAGE, LARGEST_PAGE = 50, 200
 
 
 def records_per_second(records: Column, millis: Column) -> Column:
@@ -42,9 +42,11 @@ def runs_with_types(runs: DataFrame, types: DataFrame) -> DataFrame:
 def list_runs(runs: DataFrame, types: DataFrame, limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
     """One page of runs, newest first, with their type results.
 
-    The page is cut first, so only its runs are joined.
+    A page has ``LARGEST_PAGE`` runs at most, and a negative offset is the start. The
+    page is cut first, so only its runs are joined.
     """
-    page = runs.orderBy(F.desc("started_at"), "run_id").offset(max(offset, 0)).limit(limit)
+    size = min(max(limit, 1), LARGEST_PAGE)
+    page = runs.orderBy(F.desc("started_at"), "run_id").offset(max(offset, 0)).limit(size)
     wanted = types.join(page.select("run_id"), "run_id", "left_semi")
     return runs_with_types(page, wanted).orderBy(F.desc("started_at"), "run_id")
 
@@ -55,6 +57,15 @@ def run_detail(runs: DataFrame, types: DataFrame, run_id: str) -> DataFrame:
     return one.join(types.where(F.col("run_id") == run_id), "run_id", "left").orderBy("record_type")
 
 
+def list_runs_after(
+    runs: DataFrame, types: DataFrame, started_at: str, run_id: str, limit: int = DEFAULT_PAGE
+) -> DataFrame:
+    """The page after a given run, found by its place in the order instead of a count of rows before it."""
+    last = F.lit(started_at).cast("timestamp")
+    older = (F.col("started_at") < last) | ((F.col("started_at") == last) & (F.col("run_id") > run_id))
+    return list_runs(runs.where(older), types, limit)
+
+
 def delete_runs(runs: DataFrame, types: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both tables without the given runs; results go with their run."""
     gone = ids.select("run_id").distinct()

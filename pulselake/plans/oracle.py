@@ -448,6 +448,18 @@ ORACLE["incremental_readings"] = (
     + """SELECT * FROM readings WHERE recorded_at > TIMESTAMP '2024-01-10 00:00:00' AND value IS NOT NULL
   AND NOT (metric_type = 'stress_level' AND value = 127)"""
 )
+ORACLE["incremental_readings_newest"] = (
+    with_("readings")
+    + """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY device_id, metric_type
+  ORDER BY recorded_at DESC, record_id DESC) AS rn FROM readings WHERE recorded_at > TIMESTAMP '2024-01-02')
+WHERE rn <= 60 AND value IS NOT NULL AND NOT (metric_type = 'stress_level' AND value = 127)"""
+)
+ORACLE["refused_payloads"] = (
+    BASE
+    + """SELECT event_id AS request_id, 'Too many NDJSON lines (' || (k % 3 + 1 + CASE WHEN k % 13 = 0 THEN 1 ELSE 0 END) ||
+  '). Maximum allowed is 2.' AS error, CAST(0 AS BIGINT) AS n_records FROM base
+WHERE k % 3 + 1 + CASE WHEN k % 13 = 0 THEN 1 ELSE 0 END > 2"""
+)
 
 # ---- bronze and telemetry reports -------------------------------------------
 
@@ -658,7 +670,21 @@ ORACLE["runs_with_types"] = (
 ORACLE["list_runs"] = (
     with_("runs", "nested")
     + """SELECT p.*, coalesce(type_results, '') AS type_results
-FROM (SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 500 OFFSET 10) p LEFT JOIN nested USING (run_id)"""
+FROM (SELECT * FROM runs ORDER BY started_at DESC, run_id LIMIT 200 OFFSET 10) p LEFT JOIN nested USING (run_id)"""
+)
+ORACLE["list_runs_after"] = (
+    with_("runs", "nested")
+    + """SELECT p.*, coalesce(type_results, '') AS type_results FROM (SELECT * FROM runs WHERE started_at < TIMESTAMP '2024-01-20'
+  ORDER BY started_at DESC, run_id LIMIT 100) p LEFT JOIN nested USING (run_id)"""
+)
+ORACLE["fold_type_results"] = (
+    BASE
+    + """, e AS (SELECT *, user_id || '/' || (event_id % 5) AS run_id FROM base),
+opened AS (SELECT run_id, unnest(['view', 'click']) AS record_type, ts, event_id, NULL AS k FROM e WHERE event_type = 'signup'
+  UNION ALL SELECT run_id, event_type, ts, event_id, k FROM e WHERE event_type <> 'signup'),
+r AS (SELECT run_id, record_type, min(ts) AS opened_at, arg_max(k, ts) FILTER (WHERE k IS NOT NULL) AS k FROM opened GROUP BY ALL)
+SELECT run_id, record_type, opened_at, CASE WHEN k IS NULL THEN 'pending' ELSE 'done' END AS status,
+  coalesce(k, 0) AS payload_count, coalesce(k * 3, 0) AS record_count, coalesce(k * 7, 0) AS duration_ms FROM r"""
 )
 ORACLE["run_detail"] = (
     with_("runs", "types")
@@ -982,3 +1008,20 @@ SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type
   round(sum(value), 4) AS total
 FROM slid, mark WHERE event_id % 20 <> 0 OR window_start + INTERVAL 10 MINUTE > date_trunc('millisecond', mark.at) GROUP BY ALL"""
 )
+
+# ---- files and gaps of a pull -----------------------------------------------
+
+ORACLE["garmin_backfill_gaps"] = (
+    BASE
+    + """, days AS (SELECT CAST(d AS DATE) AS d FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-02', INTERVAL 1 DAY)) AS d)),
+pulled AS (SELECT user_id, CAST(ts AS DATE) AS d, bool_or(k % 2 = 0 OR value > 5) AS came FROM base GROUP BY ALL)
+SELECT 'watch-' || u.user_id AS device_id, CAST(days.d AS VARCHAR) AS day,
+  CASE WHEN p.came IS NULL THEN 'missing' ELSE 'failed' END AS state
+FROM (SELECT DISTINCT user_id FROM base) u CROSS JOIN days LEFT JOIN pulled p ON p.user_id = u.user_id AND p.d = days.d
+WHERE p.came IS NULL OR NOT p.came"""
+)
+_readings = " UNION ALL ".join(
+    f"SELECT device_id, metric_type, value FROM ({ORACLE[name]})" for name in ("garmin_spo2", "garmin_hrv")
+)
+ORACLE["json_files"] = f"""SELECT kind AS file_kind, device_id, metric_type, count(*) AS n_rows, round(sum(value), 6) AS total
+FROM ({_readings}), (VALUES ('events'), ('ndjson')) v(kind) GROUP BY ALL"""

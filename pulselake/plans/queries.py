@@ -302,6 +302,34 @@ def _(ev, spark, sf):
     return tables.events_as_json(events)
 
 
+@query("json_files")
+def _(ev, spark, sf):
+    """Readings written as JSON files and as NDJSON files with ordered keys, both read back line by line."""
+    b = garmin.garmin_to_bronze(fixtures.extractions(ev), ["spo2", "hrv"])
+    events = garmin.events_of(b, "spo2").unionByName(garmin.events_of(b, "hrv"))
+    folder = work_dir(spark, "json_files")
+    tables.write_events_json(events, f"{folder}/events")
+    tables.write_ndjson(events.drop("metadata"), f"{folder}/ndjson")
+    parts = []
+    for kind in ("events", "ndjson"):
+        line = ndjson.read_ndjson_files(spark, f"{folder}/{kind}").select("record")
+        read = lambda path, dtype: F.try_variant_get("record", f"$.{path}", dtype)
+        parts.append(
+            line.groupBy(F.lit(kind).alias("file_kind"), read("device_id", "string").alias("device_id"), read("metric_type", "string").alias("metric_type"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(read("value", "double")).alias("total"))
+        )
+    return parts[0].unionByName(parts[1])
+
+
+@query("refused_payloads")
+def _(ev, spark, sf):
+    """Payloads of more than two lines are refused whole."""
+    records, errors = ndjson.parse_ndjson(fixtures.requests(ev).select("request_id", "body"), max_lines=2)
+    taken = records.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_records"))
+    refused = errors.where(F.col("error").startswith("Too many"))
+    return refused.join(taken, "request_id", "left").select("request_id", "error", F.coalesce("n_records", F.lit(0)).alias("n_records"))
+
+
 @query("watch_records")
 def _(ev, spark, sf):
     return watch.explode_watch_records(fixtures.watch_payloads(ev))
@@ -313,6 +341,13 @@ def _(ev, spark, sf):
     return watch.incremental_readings(readings, "2024-01-10 00:00:00")
 
 
+@query("incremental_readings_newest")
+def _(ev, spark, sf):
+    """The newest 60 readings of each device and metric."""
+    readings = watch.explode_watch_records(fixtures.watch_payloads(ev))
+    return watch.incremental_readings(readings, "2024-01-02 00:00:00", cap=60)
+
+
 # ---- stored tables ----------------------------------------------------------
 
 
@@ -479,6 +514,28 @@ def _(ev, spark, sf):
     return _as_text(runs.list_runs(_runs(ev), _types(ev), limit=500, offset=10))
 
 
+@query("list_runs_after")
+def _(ev, spark, sf):
+    return _as_text(runs.list_runs_after(_runs(ev), _types(ev), "2024-01-20 00:00:00", "", limit=100))
+
+
+@query("fold_type_results")
+def _(ev, spark, sf):
+    """Signups open a run with two configured types; every other event reports on its own type."""
+    k, created = F.col("k"), F.col("event_type") == "signup"
+    events = ev.select(
+        "event_id",
+        F.col("ts").alias("event_ts"),
+        F.concat_ws("/", "user_id", (F.col("event_id") % 5).cast("string")).alias("run_id"),
+        F.when(created, "create").otherwise("result").alias("event"),
+        F.col("event_type").alias("record_type"),
+        k.alias("payload_count"),
+        (k * 3).alias("record_count"),
+        (k * 7).alias("duration_ms"),
+    )
+    return cdc.fold_type_results(events, ["view", "click"])
+
+
 @query("run_detail")
 def _(ev, spark, sf):
     return runs.run_detail(
@@ -627,6 +684,11 @@ def _(ev, spark, sf):
     return garmin.missing_days(_garmin(ev, "hrv"), "2024-01-01", "2024-02-03")
 
 
+@query("garmin_backfill_gaps")
+def _(ev, spark, sf):
+    return garmin.backfill_gaps(fixtures.extractions(ev), "2024-01-01", "2024-02-03", ["steps", "activities"])
+
+
 @query("garmin_category_completeness")
 def _(ev, spark, sf):
     return garmin.category_completeness(fixtures.extractions(ev))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,15 +44,12 @@ def local_session(app: str = "pulselake", cores: str | int = "*", memory: str =
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
+    """A fresh folder below the shared folder of the session.
 
-    Only a local-mode session without that setting gets a temporary folder;
-    on a cluster a machine-local path would be invisible to other executors.
+    That is the one named by ``spark.checkpoint.dir``, else the context's own
+    checkpoint folder, else a folder in the warehouse, which all executors share too.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="pulselake-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return os.path.join(shared, f"{purpose}-{uuid.uuid4().hex}")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

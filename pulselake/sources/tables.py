@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,6 +53,15 @@ def append_batch(df: DataFrame, path: str, partition_by: list[str] | None = None
     writer.parquet(path)
 
 
+def append_run(df: DataFrame, path: str, run: str) -> None:
+    """Append the rows of one run of a job; a retry of the run replaces its own rows and no others.
+
+    Readers see the run's name as the column ``_run``.
+    """
+    rows = df.withColumn("_run", F.lit(run))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_run").parquet(path)
+
+
 def append_stream(
     df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, name: str | None = None
 ) -> StreamingQuery:
@@ -62,10 +73,19 @@ def append_stream(
     return writer.option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def materialized_view(df: DataFrame, path: str) -> DataFrame:
-    """Recompute an aggregate table in full and return it as stored."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def materialized_view(df: DataFrame, path: str, name: str | None = None) -> DataFrame:
+    """Recompute an aggregate table in full and return it as stored.
+
+    Without a name the folder itself is replaced. With one, the rows go to a new
+    folder below it and the view of that name then points there, so readers
+    of the view keep the old rows until the new ones are complete.
+    """
+    if name is None:
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
+    fresh = f"{path}/{uuid.uuid4().hex}"
+    df.write.parquet(fresh)
+    return view(df.sparkSession.read.parquet(fresh), name)
 
 
 def view(df: DataFrame, name: str) -> DataFrame:

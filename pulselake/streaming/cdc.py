@@ -30,6 +30,8 @@ def change_sink(
     def write(batch: DataFrame, batch_id: int) -> None:
         if keys:
             batch = latest_change(batch, keys, sequence_by, delete_when, tie_break).drop("_deleted")
+        else:
+            _note(batch.sparkSession, f"{path}/all_changes", 0)
         batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
         _note(batch.sparkSession, f"{path}/finished/batch_id={batch_id}", batch_id)
 
@@ -87,10 +89,12 @@ def compact(
 ) -> None:
     """Fold all finished changes into one state, so readers have less to fold.
 
-    For logs of latest changes. The folded state keeps deletes, so a late insert
+    For logs of latest changes; a log of all changes is a history and is refused. The folded state keeps deletes, so a late insert
     cannot bring a key back; it counts once its number is noted, and a failed
     run leaves the readers on the older state.
     """
+    if _noted(spark, f"{path}/all_changes"):
+        raise ValueError(f"{path} keeps all changes, folding it would lose versions")
     rows, last = _stored_changes(spark, path)
     folded = latest_change(rows, keys, sequence_by, delete_when, tie_break).drop("_deleted")
     folded.write.mode("overwrite").parquet(f"{path}/base/upto={last}")

@@ -1,12 +1,16 @@
 import random
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from pulselake.functions.scalars import preview
 from pulselake.operators.reconcile import reconcile
 from pulselake.operators.sketches import HLL_BITS, HLL_ERROR, KLL_ERROR, daily_sketches, merged, quantile
 from pulselake.sources.clustering import files_for, store_by_contract, write_clustered
-from pulselake.sources.contracts import load_table_config
+from pulselake.sources import tables
+from pulselake.sources.contracts import ensure_table, load_table_config
+from pulselake.streaming import cdc
 
 
 def test_filters_on_each_column_skip_files(spark, tmp_path):
@@ -54,3 +58,40 @@ def test_bags_count_repeats_and_ignore_the_order_of_json_keys(spark):
         [("both", "a")] * 2 + [("both", None), ("stored", "a"), ("stored", "b"), ("stored", None)] + [("pulled", "c")] * 2,
         key=repr,
     )
+
+
+def test_tables_are_created_once(spark):
+    for name in ("silver_workouts", "raw_bronze"):
+        cfg = load_table_config(name)
+        try:
+            assert ensure_table(spark, cfg) == ensure_table(spark, cfg) == f"default.{name}"
+            assert spark.table(f"default.{name}").columns == [c["name"] for c in cfg["columns"]]
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS default.{name}")
+
+
+def test_a_retried_run_replaces_its_own_rows(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for run, n in (("a", 5), ("b", 3), ("a", 5), ("b", 4)):
+        tables.append_run(spark.range(n), path, run)
+    assert rows(spark.read.parquet(path).groupBy("_run").count()) == [("a", 5), ("b", 4)]
+
+
+def test_readers_of_a_view_keep_the_old_rows_until_it_is_new(spark, tmp_path):
+    tables.materialized_view(spark.range(3), f"{tmp_path}/v", "kept_view")
+    reader = spark.table("kept_view")
+    tables.materialized_view(spark.range(7), f"{tmp_path}/v", "kept_view")
+    assert reader.count() == 3 and spark.table("kept_view").count() == 7
+
+
+def test_a_log_of_all_changes_is_not_folded(spark, tmp_path):
+    from test_cdc import CHANGES, feed_of
+
+    cdc.change_sink(f"{tmp_path}/log")(feed_of(spark, CHANGES), 0)
+    with pytest.raises(ValueError):
+        cdc.compact(spark, f"{tmp_path}/log", ["uuid"])
+
+
+def test_preview(spark):
+    made = spark.createDataFrame([("abcdef",), ("abc",), (None,)], "t string").select(preview(F.col("t"), 3).alias("p"))
+    assert rows(made) == sorted([("abc...",), ("abc",), (None,)], key=repr)
