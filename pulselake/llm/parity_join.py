@@ -26,7 +26,7 @@ looked at again. Their members are joined once more, by the shingles of which
 similar sets must share one: the rare ones first, so that a passage that many
 texts hold brings together only texts that are little else. Of what is still
 crowded then, members outside the main component of a bucket meet one member
-of it a round, and only those that no round joins meet all others; the join
+of it, and only those that this does not join meet all others; the join
 itself lets through only pairs whose dense sketches are near enough.
 
 Components need no more links than join them: each set is first checked with
@@ -73,8 +73,6 @@ SAMPLE_DOCS = 10_000
 COMMON_TIMES = 3
 COMMON_SHINGLES = 500_000
 DENSE_BITS = 1024
-# Rounds in which members of a crowded bucket meet one member of its main component.
-ROUNDS = 3
 # Text of one vectorised step, and words remembered by one task.
 STEP_BYTES = 4_000_000
 KNOWN_WORDS = 200_000
@@ -478,11 +476,11 @@ class Join:
         both = ordered.toDF("ra", "rb").join(left, "ra").join(right, "rb")
         return stored(both.where(may_link("a", "b", self.percent)).select("ra", "rb"), "join-near")
 
-    def joining(self, pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
-        """Links (``a``, ``b``) among pairs of roots, enough to join all that the pairs join.
+    def joining(self, pairs: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """Links (``a``, ``b``) among pairs of roots, enough to join all that the pairs join, and the components.
 
-        ``known`` are the links found before. Each root is checked with its smallest
-        partner first, then all pairs that lie in different components.
+        ``known`` are the links found before; both results hold them too. Each root is checked
+        with its smallest partner first, then all pairs that lie in different components.
         """
         near = self.near(pairs)
         partner = near.unionByName(near.select(F.col("rb").alias("ra"), F.col("ra").alias("rb"))).groupBy("ra").agg(
@@ -496,9 +494,10 @@ class Join:
             links = links.unionByName(known)
         labels = stored(connected_components(links), "join-labels")
         rest = stored(apart(near.join(stars, ["ra", "rb"], "left_anti"), labels), "join-rest")
-        if rest.isEmpty():
-            return links
-        return links.unionByName(self.links(rest))
+        if not rest.isEmpty():
+            links = links.unionByName(self.links(rest))
+            labels = stored(connected_components(links), "join-labels")
+        return links, labels
 
     def links(self, near: DataFrame) -> DataFrame:
         """Of pairs of roots (``ra``, ``rb``) those that link by their sets, as ``a`` and ``b``."""
@@ -578,8 +577,7 @@ class Join:
     def components(self) -> DataFrame:
         """``root`` and ``component``, a number of a root, for every class that links."""
         pairs = self.roots_of(self.found.where("not hot").select(F.col("x").alias("a"), F.col("y").alias("b")), "a", "b")
-        links = self.joining(pairs)
-        labels = stored(connected_components(links), "join-labels")
+        links, labels = self.joining(pairs)
         hot = self.roots_of(self.found.where("hot").select(F.col("x").alias("key"), F.col("y").alias("root")), "root").distinct()
         crowd = self.open_members(hot, labels)
         if crowd.isEmpty():
@@ -590,24 +588,16 @@ class Join:
         first = self._sets(stored(roots.join(wanted, "root", "left_semi"), "join-wanted"), self.common)
         found = self.bucketed(first.select(F.explode("members").alias("key"), F.col("root").alias("row")))
         pairs = apart(found.where("not hot").select(F.col("x").alias("ra"), F.col("y").alias("rb")), labels)
-        links = self.joining(pairs.toDF("a", "b"), links)
-        labels = stored(connected_components(links), "join-labels")
+        links, labels = self.joining(pairs.toDF("a", "b"), links)
         hot = found.where("hot").select(F.col("x").alias("key"), F.col("y").alias("root"))
-        for round_no in range(ROUNDS):
-            crowd = self.open_members(hot, labels)
-            if crowd.isEmpty():
-                return labels
-            mains = crowd.where("label = main").groupBy("key").agg(
-                F.min_by("root", F.xxhash64("root", F.lit(round_no))).alias("b")
-            )
-            met = crowd.where("label <> main").join(mains, "key").select(F.col("root").alias("a"), "b")
-            links = self.joining(met, links)
-            labels = stored(connected_components(links), "join-labels")
         crowd = self.open_members(hot, labels)
-        more = stored(self.all_pairs(crowd), "join-open-pairs")
-        if more.isEmpty():
+        if crowd.isEmpty():
             return labels
-        return connected_components(self.joining(more, links))
+        mains = crowd.where("label = main").groupBy("key").agg(F.min_by("root", F.xxhash64("root")).alias("b"))
+        met = crowd.where("label <> main").join(mains, "key").select(F.col("root").alias("a"), "b")
+        links, labels = self.joining(met, links)
+        more = stored(self.all_pairs(self.open_members(hot, labels)), "join-open-pairs")
+        return labels if more.isEmpty() else self.joining(more, links)[1]
 
     def result(self) -> DataFrame:
         labels = self.components().select(F.col("node").alias("root"), "label")
