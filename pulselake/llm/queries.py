@@ -23,6 +23,7 @@ from pulselake.llm import (
     whitening,
 )
 from pulselake.llm.common import table
+from pulselake.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,5 +115,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_toxicity,
     )
 }
-
-ORACLE: dict[str, str] = {}
