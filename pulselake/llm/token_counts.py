@@ -84,6 +84,8 @@ def count_tokens(
     """Number of tokens of the whole text, and of the splices it took."""
     if len(text) <= chunk + overlap:
         return len(enc.model.encode(text)), 0
+    # The model takes its mark of a blank for a blank, wherever it stands.
+    text = text.replace(SPACE, " ")
     counted, splices = 0, 0
     start = 0  # first character of the chunk at hand
     known = 0  # character up to which tokens are counted
@@ -110,8 +112,9 @@ def count_tokens(
             if cut is not None:
                 break
             if begin == known:
-                # Nothing stable up to here: the chunk itself becomes longer.
-                stop = min(len(text), stop + chunk)
+                # Nothing stable up to here: the chunk itself becomes twice as long, so the
+                # work stays in proportion to the text.
+                stop = min(len(text), stop + max(chunk, stop - start))
                 cut = -1
                 break
             width *= 2
