@@ -39,14 +39,19 @@ def runs_with_types(runs: DataFrame, types: DataFrame) -> DataFrame:
     return joined.withColumn("type_results", F.coalesce("type_results", empty))
 
 
+def page_size(requested: int | None = None) -> int:
+    """Page size of a request from outside: ``LARGEST_PAGE`` at most, ``DEFAULT_PAGE`` if none is named."""
+    return min(max(requested or DEFAULT_PAGE, 1), LARGEST_PAGE)
+
+
 def list_runs(runs: DataFrame, types: DataFrame, limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
     """One page of runs, newest first, with their type results.
 
-    A page has ``LARGEST_PAGE`` runs at most, and a negative offset is the start. The
-    page is cut first, so only its runs are joined.
+    The page has as many runs as asked for; :func:`page_size` bounds a size that
+    comes from outside. A negative offset is the start. The page is cut first, so
+    only its runs are joined.
     """
-    size = min(max(limit, 1), LARGEST_PAGE)
-    page = runs.orderBy(F.desc("started_at"), "run_id").offset(max(offset, 0)).limit(size)
+    page = runs.orderBy(F.desc("started_at"), "run_id").offset(max(offset, 0)).limit(max(limit, 1))
     wanted = types.join(page.select("run_id"), "run_id", "left_semi")
     return runs_with_types(page, wanted).orderBy(F.desc("started_at"), "run_id")
 
