@@ -28,8 +28,22 @@ QUANTITIES = [
 ACTIVITIES = [("running", 37), ("walking", 52), ("cycling", 13)]
 
 
+# Events of one task: each becomes many rows and long texts, so a task has few of them.
+TASK_EVENTS = 100_000
+
+
+def spread(raw: DataFrame) -> DataFrame:
+    """The same events in tasks of about ``TASK_EVENTS``, whatever the files and row groups they come in.
+
+    One large file may have one row group, which a single task would read and
+    work on. The count of a whole table reads the footers of its files.
+    """
+    tasks = -(-raw.count() // TASK_EVENTS)
+    return raw.repartition(tasks, "event_id", "ts") if tasks > 1 else raw
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shape(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return shape(spread(spark.read.parquet(f"{sf_dir}/events.parquet")))
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,7 +335,10 @@ def extractions(ev: DataFrame) -> DataFrame:
     num = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
 
     def fmt(template: str, *args: Column) -> Column:
-        return F.format_string(template, *args)
+        """The template with a text in place of each ``%s``; NULL is the text null."""
+        first, *rest = template.split("%s")
+        filled = [x for a, part in zip(args, rest, strict=True) for x in (F.coalesce(a.cast("string"), F.lit("null")), F.lit(part))]
+        return F.concat(F.lit(first), *filled)
 
     stats = fmt(
         '{"restingHeartRate":%s,"totalSteps":%s,"activeKilocalories":%s,"totalKilocalories":%s,"vO2MaxValue":%s,'
