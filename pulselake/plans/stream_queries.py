@@ -27,7 +27,7 @@ def arrivals(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFram
     """The stream of events, once after each slice has arrived."""
     table = spark.read.parquet(f"{sf_dir}/events.parquet")
     for i in range(SLICES):
-        part = table.where(F.pmod(F.xxhash64("event_id"), F.lit(SLICES)) == i)
+        part = fixtures.spread(table.where(F.pmod(F.xxhash64("event_id"), F.lit(SLICES)) == i))
         part.write.mode("append").parquet(f"{folder}/arrived/events.parquet")
         yield fixtures.events_stream(spark, f"{folder}/arrived")
 
@@ -158,7 +158,7 @@ def in_order(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFram
         ahead,
     )
     for part in slices:
-        part.write.mode("append").parquet(f"{folder}/arrived/events.parquet")
+        fixtures.spread(part).write.mode("append").parquet(f"{folder}/arrived/events.parquet")
         yield fixtures.events_stream(spark, f"{folder}/arrived")
 
 
