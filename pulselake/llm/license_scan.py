@@ -1,10 +1,12 @@
 """License scans with a trained paragraph classifier.
 
-Paragraphs (lines) become sparse counts of hashed word n-grams. A multinomial
-logistic regression, trained here on public licence notices and on ordinary
-paragraphs of the corpus, tells licence families apart; ordinary text is a
-class of its own. A paragraph counts as unknown below a probability that is
-calibrated on all ordinary paragraphs. A prediction is
+Paragraphs (lines) become sparse counts of hashed word n-grams. A logistic
+regression, trained here on public licence notices and on ordinary paragraphs
+of the corpus, tells notices from ordinary text; a multinomial one, trained on
+the notices, tells licence families apart. The probability of a family is the
+product of both. A paragraph counts as unknown below a probability that is
+calibrated on all ordinary paragraphs, and where ordinary text is likelier than
+any family. A prediction is
 confirmed by comparison with the notices: a notice must share enough of the
 word pairs of the shorter one. Pairs of two function words tell nothing and do
 not count, so a paragraph without any other word of a notice cannot be
@@ -32,7 +34,7 @@ import re
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,9 @@ FEATURES = 2**15
 FALSE_SHARE = 0.0005
 # Probabilities are told apart up to one part of so many.
 STEPS = 1_000_000
+# Weight of an ordinary paragraph in the fit, a notice having 1, and of all together: beyond it they share it, or notices
+# would count for ever less.
+ORDINARY_WEIGHT, ORDINARY_TOTAL = 0.5, 1500.0
 # Paragraphs in a task of the fit.
 FIT_ROWS = 200_000
 SHARED_PAIRS = 0.6
@@ -198,22 +203,30 @@ def notice_pairs(text: str) -> list[str]:
     return list(dict.fromkeys(" ".join(p) for p in found if not set(p) <= FUNCTION_WORDS))
 
 
+def with_hits(lines: DataFrame, name: str) -> DataFrame:
+    """``lines``, stored, with the number ``n_pairs`` of their telling pairs and the ``hits``, those of any notice."""
+    listed = sorted({p for texts in NOTICES.values() for t in texts for p in notice_pairs(t)})
+    graded = lines.withColumn("grams", telling_pairs(F.col("words")))
+    hits = F.filter("grams", lambda p: p.isin(listed))
+    return stored(graded.withColumn("n_pairs", F.size("grams")).withColumn("hits", hits).drop("grams"), name)
+
+
 def against_notices() -> list[tuple[str, Column]]:
-    """Family of each notice, and the share of pairs that it has in common with the column ``grams``."""
-    return [
-        (f, shared_pairs(F.col("grams"), F.array(*map(F.lit, notice_pairs(t))))) for f, texts in NOTICES.items() for t in texts
-    ]
+    """Family of each notice, and the share of pairs that it has in common with a line (see :func:`with_hits`)."""
+    return [(f, shared_pairs(notice_pairs(t))) for f, texts in NOTICES.items() for t in texts]
 
 
-def shared_pairs(x: Column, y: Column) -> Column:
+def shared_pairs(notice: list[str]) -> Column:
     """Share of the pairs of the shorter text found in the other."""
-    return F.size(F.array_intersect(x, y)) / F.greatest(F.least(F.size(x), F.size(y)), F.lit(1))
+    common = F.size(F.array_intersect("hits", F.array(*map(F.lit, notice))))
+    shorter = F.greatest(F.least("n_pairs", F.lit(len(notice))), F.lit(1))
+    return F.when(F.size("hits") > 0, common / shorter).otherwise(0.0)
 
 
 def ordinary_words(candidates: DataFrame) -> DataFrame:
     """The distinct ``words`` of paragraphs that share less than half of their pairs with any notice."""
     distinct = candidates.select("words").distinct()
-    graded = stored(distinct.withColumn("grams", telling_pairs(F.col("words"))), "license-grams")
+    graded = with_hits(distinct, "license-grams")
     # The notices are a fixed, short list; each line is held against all of them.
     like = F.greatest(*[share for _, share in against_notices()])
     return graded.where(like < 0.5).select("words")
@@ -232,14 +245,47 @@ def calibrated(scores: DataFrame) -> float:
     return 0.0
 
 
-def train(spark: SparkSession, candidates: DataFrame) -> tuple[LogisticRegressionModel, float]:
+class Model:
+    """Whether a paragraph is licensed, by one regression, and its family, by another on the features of the notices."""
+
+    def __init__(self, notice: LogisticRegressionModel, family: LogisticRegressionModel, own: VectorSlicer):
+        self.notice, self.family, self.own = notice, family, own
+
+    def licensed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the probability ``licensed`` that they are no ordinary text."""
+        made = ["rawPrediction", "probability", "prediction"]
+        scored = self.notice.transform(rows)
+        return scored.withColumn("licensed", F.element_at(vector_to_array("probability"), 2)).drop(*made)
+
+    def families(self, rows: DataFrame) -> DataFrame:
+        """``rows`` that one family fits better than ordinary text, with this ``family`` and its ``probability``."""
+        scored = self.family.transform(self.own.transform(rows))
+        place = F.col("prediction").cast("int") + 1
+        likelihood = F.element_at(vector_to_array("probability"), place) * F.col("licensed")
+        named = scored.select(
+            *rows.columns,
+            F.element_at(F.array(*[F.lit(f) for f in NOTICES]), place).alias("family"),
+            likelihood.alias("probability"),
+        )
+        return named.where(F.col("probability") > 1 - F.col("licensed"))
+
+
+def fitted(rows: DataFrame, kind: str, label: str, features: str = "features") -> LogisticRegressionModel:
+    # All gradients of a task are sent in each step, so a task has many paragraphs.
+    tasks = max(1, -(-rows.count() // FIT_ROWS))
+    return LogisticRegression(
+        family=kind, featuresCol=features, labelCol=label, regParam=0.0001, elasticNetParam=0.5, maxIter=60, weightCol="weight", standardization=False
+    ).fit(rows.coalesce(tasks))
+
+
+def train(spark: SparkSession, candidates: DataFrame) -> tuple[Model, float]:
     """A model, and the probability below which a paragraph is unknown, from the ``words`` of all paragraphs to score.
 
     Of each notice there are its whole text, its first two thirds and copies that
     lack every third or fifth word, but none that lacks all words by which the
     notice differs from other families. Ordinary paragraphs that share half of
     their pairs with a notice take no part; of all others equal ones count once, in
-    the fit and for the threshold.
+    the fit, where their weight together is bounded, and for the threshold.
     """
     labels = F.array(*[F.lit(f) for f in FAMILIES])
     given = notices(spark)
@@ -254,19 +300,22 @@ def train(spark: SparkSession, candidates: DataFrame) -> tuple[LogisticRegressio
         ],
     )
     marks = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)).cast("array<string>") for f in marks_of_families() for x in f])
-    own = F.array_intersect(marks[F.col("family")], F.col("whole"))
-    positive = positive.where((F.size(own) == 0) | F.arrays_overlap("words", own)).drop("whole")
-    ordinary = ordinary_words(candidates).select(F.lit(ORDINARY).alias("family"), "words", F.lit(0.5).alias("weight"))
+    mark = F.array_intersect(marks[F.col("family")], F.col("whole"))
+    positive = positive.where((F.size(mark) == 0) | F.arrays_overlap("words", mark)).drop("whole")
+    ordinary = ordinary_words(candidates)
+    weight = min(ORDINARY_WEIGHT, ORDINARY_TOTAL / max(ordinary.count(), 1))
+    ordinary = ordinary.select(F.lit(ORDINARY).alias("family"), "words", F.lit(weight).alias("weight"))
     rows = hashed(positive.withColumn("weight", F.lit(1.0)).unionByName(ordinary))
-    label = (F.array_position(labels, F.col("family")) - 1).cast("double")
-    rows = stored(rows.select(label.alias("label"), "weight", "features"), "license-fit")
-    # All gradients of a task are sent in each step, so a task has many paragraphs.
-    tasks = -(-rows.count() // FIT_ROWS)
-    fitted = LogisticRegression(
-        family="multinomial", regParam=0.0001, elasticNetParam=0.5, maxIter=60, weightCol="weight", standardization=False
-    ).fit(rows.coalesce(tasks))
-    top = F.lit(1.0) - F.element_at(vector_to_array("probability"), 1)
-    return fitted, max(0.5, calibrated(fitted.transform(rows.where("label = 0")).select(top.alias("p"))))
+    number = (F.array_position(labels, F.col("family")) - 1).cast("double")
+    notice = (F.col("family") != ORDINARY).cast("double")
+    rows = stored(rows.select(number.alias("number"), notice.alias("notice"), "weight", "features"), "license-fit")
+    known = rows.where("notice = 1").withColumn("number", F.col("number") - 1)
+    # Features that no notice has would get no weight among families; the number of variants is fixed.
+    indices = {int(i) for r in known.select("features").collect() for i in r.features.indices}
+    own = VectorSlicer(inputCol="features", outputCol="own", indices=sorted(indices))
+    model = Model(fitted(rows, "binomial", "notice"), fitted(own.transform(known), "multinomial", "number", "own"), own)
+    scores = model.licensed(rows.where("notice = 0").select("features"))
+    return model, max(0.5, calibrated(scores.select(F.col("licensed").alias("p"))))
 
 
 def find_licenses(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -282,17 +331,8 @@ def find_licenses(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = paragraphs(numbered).where(may_be_licensed(F.col("line")))
     candidates = stored(lines.select("row", "place", words(F.col("line")).alias("words")), "license-lines")
     model, least = train(spark, candidates)
-    # The first label is the highest where a paragraph is ordinary.
-    scored = model.transform(hashed(candidates)).where("prediction > 0")
-    chosen = scored.select(
-        "row",
-        "place",
-        "words",
-        F.element_at(F.array(*[F.lit(f) for f in FAMILIES]), (F.col("prediction") + 1).cast("int")).alias("family"),
-        F.element_at(vector_to_array("probability"), (F.col("prediction") + 1).cast("int")).alias("probability"),
-        (F.lit(1.0) - F.element_at(vector_to_array("probability"), 1)).alias("licensed"),
-    ).where(F.col("licensed") >= least)
-    chosen = chosen.withColumn("grams", telling_pairs(F.col("words")))
+    licensed = model.licensed(hashed(candidates)).where(F.col("licensed") >= least)
+    chosen = with_hits(model.families(licensed).drop("features", "licensed"), "license-chosen")
     best = F.least(
         *[
             F.struct((-share).alias("unshared"), (F.lit(f) != F.col("family")).alias("other"), F.lit(f).alias("family"))
