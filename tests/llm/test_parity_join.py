@@ -140,3 +140,27 @@ def test_runs_over_batch_limits():
             else:
                 want |= {(a, b) for i, a in enumerate(run) for b in run[i + 1 :]}
         assert pairs == want and hot == want_hot
+
+
+def test_sets_are_dealt_once_for_both_sides(spark, monkeypatch):
+    """Texts are cut and their sets sent once for all pairs; no other exchange before the pairs meet carries sets."""
+    plans = []
+    stored = parity_join.stored
+
+    def seen(df, purpose, *rest):
+        if purpose == "join-links":
+            df = df.select("a", "b")
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, purpose, *rest)
+
+    monkeypatch.setattr(parity_join, "stored", seen)
+    docs = crowded(3)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert got(frame) == brute(docs)
+    finals = [p.split("== Initial Plan ==")[0] for p in plans]
+    finals = [p for p in finals if "EmptyRelation" not in p]
+    assert finals
+    for final in finals:
+        assert "ReusedExchange" in final
+        assert final.count("MapInArrow") == 1
