@@ -13,9 +13,10 @@ def stars(edges: DataFrame) -> DataFrame:
     """``u`` and ``v``, the smallest node reachable, for edges (``a``, ``b``) of longs; without the smallest nodes.
 
     Alternates large-star and small-star steps until the graph is a set of
-    stars. Each step sends a row of two numbers for an edge at most, and the
-    smallest neighbour of a node is a partial aggregate. Both steps together
-    are four exchanges, and a graph that is a set of stars already gets none.
+    stars. An exchange holds two rows of two numbers for an edge at most. The
+    smallest neighbour of a node is a partial aggregate; the edges of one node
+    meet in one task, where Spark sorts them. Both steps together are four
+    exchanges, and a graph that is a set of stars already gets none.
     """
     up, low = F.greatest("a", "b"), F.least("a", "b")
     now = stored(edges.where("a <> b").select(up.alias("u"), low.alias("v")).distinct(), "components")
