@@ -164,3 +164,44 @@ def test_sets_are_dealt_once_for_both_sides(spark, monkeypatch):
     for final in finals:
         assert "ReusedExchange" in final
         assert final.count("MapInArrow") == 1
+
+
+def test_copies_met_by_several_tasks_fill_no_bucket(spark, monkeypatch):
+    """Each task carries the keys of a copy; only those of one row are dealt out."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3)]
+    rows = [(i, texts[i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(20)
+    for limit in (parity_join.BROADCAST_IDS, 0):
+        monkeypatch.setattr(parity_join, "BROADCAST_IDS", limit)
+        join = parity_join.Join(docs)
+        assert join.sets.where("size(dense) > 0").count() > 2 * len(texts)
+        assert join.found.where("hot").isEmpty()
+        assert got(docs) == brute(rows)
+
+
+def test_wide_sketches_tell_large_sets_apart(spark):
+    """Of large sets the dense sketch is full, so that it tells none apart; the wide one does."""
+    rng = random.Random(5)
+    base = [rng.randrange(2**62) for _ in range(4300)]
+    sets = [base, base[:3990], base[:2000] + [rng.randrange(2**62) for _ in range(2300)], base[:1000], base[200:1400]]
+    hashes, counts = np.array([x for s in sets for x in s], dtype=np.uint64), np.array([len(s) for s in sets])
+    wide, lengths = parity_join.wide_sketches(hashes, counts)
+    ends = np.cumsum(lengths)
+    dense = parity_join.dense_sketches(hashes, counts)
+    rows = [
+        (i, len(s), dense[i].tolist(), wide[ends[i] - lengths[i] : ends[i]].tolist()) for i, s in enumerate(sets)
+    ]
+    frame = spark.createDataFrame(rows, "i int, n long, dense array<long>, wide array<long>")
+    frame = frame.selectExpr("i", "struct(n, dense, wide) as s")
+    assert list(lengths) == [256, 128, 256, 0, 64]
+    both = frame.toDF("i", "a").crossJoin(frame.toDF("j", "b")).where("i < j")
+    told = {
+        (r.i, r.j): (r.dense, r.wide)
+        for r in both.select(
+            "i", "j", parity_join.may_link("a", "b", 80).alias("dense"), parity_join.may_link_wide("a", "b", 80).alias("wide")
+        ).collect()
+    }
+    assert told[0, 1] == (True, True)  # 3990 of 4300 shared, sketches of two lengths
+    assert told[0, 2] == (True, False) and told[1, 2] == (True, False)
+    assert told[3, 4][1]
