@@ -123,3 +123,19 @@ def test_tokens():
     hashes, first = token_hashes([b"A b\x0bA", b"", b" "], WordHashes())
     assert list(first) == [True, False, False, False, True, True]
     assert hashes[0] == hashes[2] != hashes[1] and len(np.unique(hashes[3:])) == 1
+
+
+def test_contexts_stay_however_large_the_corpus(spark):
+    """Sequences that occur twice among more than two million tokens."""
+    rng = random.Random(6)
+    train = [i for i in range(99) if zlib.crc32(str(i).encode()) % 5 != 1]
+    docs = [(i, " ".join(rng.choices("abcdefgh", k=45_000))) for i in train[:50]]
+    docs += [(i, "seldom seen words a b") for i in train[50:52]]
+    docs.append((next(i for i in range(99) if i not in train), "some seldom seen words here"))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    want, tree, _ = brute(docs, least_share=0.0)
+    assert {("seldom",), ("seldom", "seen")} & set(tree)
+    rows = score_documents(frame).collect()
+    compare(rows, want)
+    held = next(r for r in rows if r.held_out)
+    assert held.score > held.base_score + 3
